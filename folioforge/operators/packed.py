@@ -81,10 +81,12 @@ def quoted(text: str, at: int, sep: re.Pattern[str]):
         return None
     stop = text.find(close, at + 1)
     while stop != -1:
-        if text.startswith(close * 2, stop) and stop > at + 1:
-            stop = text.find(close, stop + 2)
-        elif _ends(text, stop + 1, sep):
+        if _ends(text, stop + 1, sep):
             return [text[at + 1 : stop].replace(close * 2, close)], stop + 1, "quoted", None
+        if text.startswith(close * 2, stop):
+            stop = text.find(close, stop + 2)
+        elif stop > at + 1 and (text[stop - 1].isspace() or sep.match(text, stop - 1)):
+            return None  # this quote opens the next value
         else:
             stop = text.find(close, stop + 1)
     return None
