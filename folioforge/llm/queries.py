@@ -7,13 +7,23 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import bpe, catalog, leak, survivor
+from folioforge.llm import bpe, canon, catalog, leak, pii, survivor
 from folioforge.session import table
 
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
 BPE_FILE = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of spans of one page that differ but print the same."""
+    return canon.look_alike_pairs(table(spark, sf_dir, "spans"), "span_id", "content", ["document_name", "page_idx"])
+
+
+def p1_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every span's content in its consistent form."""
+    return canon.canonical(table(spark, sf_dir, "spans").select("span_id", "content"), "span_id", "content").select(F.col("id").alias("span_id"), F.col("canon").alias("content"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of records of one pin."""
     return survivor.duplicate_pairs(table(spark, sf_dir, "pins"))
@@ -59,7 +69,19 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each different piece of personal data of a document."""
+    return pii.find_personal(table(spark, sf_dir, "documents")).select("doc_id", "kind", "item_text").distinct()
+
+
+def p9_sanitised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts with typed placeholders in the place of personal data."""
+    return pii.sanitise(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_canonical": p1_canonical,
     "p3_found": p3_found,
     "p3_survivors": p3_survivors,
     "p4_found": p4_found,
@@ -67,5 +89,7 @@ QUERIES = {
     "p7_ids": p7_ids,
     "p7_roundtrip": p7_roundtrip,
     "p8_found": p8_found,
+    "p9_found": p9_found,
+    "p9_sanitised": p9_sanitised,
 }
 ORACLE: dict[str, str] = {}
