@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import bpe, canon, catalog, leak, pii, survivor
+from folioforge.llm import bpe, canon, catalog, leak, pii, scanfix, survivor
 from folioforge.session import table
 
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
@@ -24,6 +24,16 @@ def p1_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canon.canonical(table(spark, sf_dir, "spans").select("span_id", "content"), "span_id", "content").select(F.col("id").alias("span_id"), F.col("canon").alias("content"))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds of noise from scanning in spans and tables."""
+    return scanfix.find_noise(table(spark, sf_dir, "spans"), table(spark, sf_dir, "table_candidates"))
+
+
+def p2_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readable paragraphs of the scanned pages."""
+    return scanfix.paragraphs(table(spark, sf_dir, "spans"), table(spark, sf_dir, "table_candidates"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of records of one pin."""
     return survivor.duplicate_pairs(table(spark, sf_dir, "pins"))
@@ -82,6 +92,8 @@ def p9_sanitised(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_canonical": p1_canonical,
+    "p2_found": p2_found,
+    "p2_paragraphs": p2_paragraphs,
     "p3_found": p3_found,
     "p3_survivors": p3_survivors,
     "p4_found": p4_found,
