@@ -109,7 +109,7 @@ def shred(df: DataFrame, key: str, text: str, scalars: bool = True) -> DataFrame
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(out, _ARROW)], schema=_ARROW)
 
     nodes = df.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("body")).mapInArrow(run, NODE_SCHEMA)
-    return cut(nodes.repartition("doc").dropDuplicates(["doc", "node"]))
+    return cut(nodes.repartition("doc").dropDuplicates(["doc", "node"]), keep_partitioning=True)
 
 
 def entity(nodes: DataFrame, label: str | Sequence[str], fields: Sequence[str] = ()) -> DataFrame:

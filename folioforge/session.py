@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,21 +34,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and go on from there.
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, from ``spark.checkpoint.dir``; on one machine a temporary one where that is unset."""
+    sc = spark.sparkContext
+    known = sc._jsc.sc().getCheckpointDir()
+    if known.isDefined():
+        return known.get()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix=f"folioforge-{os.getpid()}-")
+    sc.setCheckpointDir(folder)
+    return sc._jsc.sc().getCheckpointDir().get()
+
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only
-    where that is unset (tests on one machine) is a temporary one made. The
-    checkpoint keeps the partitioning, so later joins on the same key need no
-    new exchange.
+def cut(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and go on from there, so that nothing before it is done again.
+
+    It is written as a compressed table. ``keep_partitioning`` makes a reliable
+    checkpoint instead, which is larger, but lets later joins on the same key do
+    without an exchange.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not sc.master.startswith("local[") and sc.master != "local":
-                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix=f"folioforge-{os.getpid()}-")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint()
+    folder = _shared_folder(spark)
+    if keep_partitioning:
+        return df.checkpoint()
+    place = f"{folder}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return spark.read.schema(df.schema).parquet(place)
