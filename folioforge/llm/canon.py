@@ -13,7 +13,7 @@ beginning of their visible form, and each shard builds its tries prefix by prefi
 Cases: null contents stay out; empty and blank contents have the empty form;
 kinds of blank become the ASCII blank and blanks at the ends fall away, while
 their number inside counts; raised digits, case and accents are kept apart;
-repeated ids count once; texts of any length are read whole.
+a repeated id gives its pairs once; texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -42,7 +42,10 @@ HYPHENS = "‐‑"
 #: Decompositions that leave the printed form as it is.
 SAME_PRINT = ("<compat>", "<noBreak>", "<wide>", "<narrow>")
 _BLANK = r"[ \t\n\x0B\f\r\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-_PLAIN = r"^[\x21-\x7E]+(?: +[\x21-\x7E]+)*$"
+#: Characters that the table leaves as they are and that no other character is taken for.
+_STABLE = "\\x21-\\x7E°ΩÀ-ÖØ-öø-ÿ\\x{4E00}-\\x{9FFF}"
+_PLAIN = f"^[{_STABLE}]+(?: +[{_STABLE}]+)*$"
+_PLAIN_TOKEN = f"^[{_STABLE}]*$"
 SALT = 8
 
 
@@ -137,12 +140,12 @@ def _canonical_tokens(tokens: DataFrame) -> DataFrame:
 
     def form(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            forms = [skeleton(t) for t in batch.column(0).to_pylist()]
+            forms = [spelled(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(forms, pa.string())], names=["token", "n", "form"])
 
-    odd = tokens.where(~F.col("token").rlike(r"^[\x21-\x7E]*$")).mapInArrow(form, "token string, n bigint, form string")
+    odd = tokens.where(~F.col("token").rlike(_PLAIN_TOKEN)).mapInArrow(form, "token string, n bigint, form string")
     odd = cut(odd.withColumn("plain", F.lit(False)))
-    plain = tokens.where(F.col("token").rlike(r"^[\x21-\x7E]*$"))
+    plain = tokens.where(F.col("token").rlike(_PLAIN_TOKEN))
     # only words that a token could reach are put into the tries
     words = plain.join(odd.select(F.col("form").alias("token")).distinct(), "token", "left_semi").select("token", "n", F.col("token").alias("form"), F.lit(True).alias("plain"))
     shard = F.substring("form", 1, 3)
@@ -180,28 +183,39 @@ def is_word(token: str) -> bool:
     return clean and (spelled(token) == token or len(token) > 1 and not _LATIN.search(token) and not any("！" <= c <= "￮" for c in token) and all(c in LOOK_ALIKES or visible(c) == c for c in token))
 
 
+def _split(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that are their own form, one row per other text with its canonical form), both (id, text, rest, canon)."""
+    rest = [c for c in df.columns if c not in (key, text)]
+    given = df.select(F.col(key).alias("id"), F.col(text).alias("text"), *[F.col(c) for c in rest]).where("text is not null and id is not null")
+    is_plain = F.col("text").rlike(_PLAIN)
+    plain, odd = given.where(is_plain), given.where(~is_plain)
+    parts = F.split(F.regexp_replace("text", f"^{_BLANK}+|{_BLANK}+$", ""), _BLANK)
+    tokens = plain.select(F.explode(F.split("text", " ")).alias("token")).unionAll(odd.select(F.explode(parts).alias("token")))
+    words = tokens.where("token <> ''").groupBy("token").agg(F.count("*").alias("n"))
+    changed = _canonical_tokens(cut(words)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    pieces = odd.select("id", "text", *rest, F.posexplode(parts).alias("pos", "token")).withColumn("salt", F.pmod(F.hash("id"), F.lit(SALT)))
+    spelled_ = pieces.join(changed, ["token", "salt"], "left").withColumn("t", F.coalesce("canon", "token"))
+    whole = spelled_.groupBy("id").agg(*[F.first(c).alias(c) for c in ("text", *rest)], F.array_sort(F.collect_set(F.struct("pos", "t"))).alias("ts"))
+    return plain.withColumn("canon", F.col("text")), whole.select("id", "text", *rest, F.array_join(F.transform("ts", lambda x: x["t"]), " ").alias("canon"))
+
+
 def canonical(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, text, canon, odd) of every row with a text; ``odd`` tells texts with other than plain characters.
+    """(key as id, text, other columns, canon) of every row with a text, once per key.
 
     Plain texts are their own form and take no part in the joins.
     """
-    rows = df.select(F.col(key).alias("id"), F.col(text).alias("text"), *[F.col(c) for c in df.columns if c not in (key, text)]).where("text is not null and id is not null").dropDuplicates(["id"])
-    rows = cut(rows.withColumn("odd", ~F.col("text").rlike(_PLAIN)))
-    trimmed = F.regexp_replace("text", f"^{_BLANK}+|{_BLANK}+$", "")
-    parts = F.when(F.col("odd"), F.split(trimmed, _BLANK)).otherwise(F.split("text", " "))
-    words = rows.select("odd", F.explode(parts).alias("token")).where("token <> ''").groupBy("token").agg(F.count("*").alias("n"))
-    changed = _canonical_tokens(cut(words)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    pieces = rows.where("odd").select("id", F.posexplode(F.split(trimmed, _BLANK)).alias("pos", "token")).withColumn("salt", F.pmod(F.hash("id"), F.lit(SALT)))
-    joined = pieces.join(changed, ["token", "salt"], "left").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("canon", "token").alias("t")))).alias("ts"))
-    forms = joined.select("id", F.array_join(F.transform("ts", lambda x: x["t"]), " ").alias("canon"))
-    out = rows.where("not odd").withColumn("canon", F.col("text")).unionByName(rows.where("odd").join(forms, "id"))
-    return out
+    plain, odd = _split(df, key, text)
+    return plain.unionByName(odd).dropDuplicates(["id"])
 
 
 def look_alike_pairs(df: DataFrame, key: str, text: str, scope: list[str]) -> DataFrame:
-    """(key_a, key_b), the smaller first: rows of one scope with different texts that print the same."""
-    forms = cut(canonical(df.select(key, text, *scope), key, text))
+    """(key_a, key_b), the smaller first: rows of one scope with different texts that print the same.
+
+    One of a pair is never plain, so the few other texts are joined with all.
+    """
+    plain, odd = _split(df.select(key, text, *scope), key, text)
+    odd = cut(odd)
     on = [*scope, "canon"]
-    b = forms.select(*on, F.col("id").alias("b"), F.col("text").alias("text_b"), F.col("odd").alias("odd_b"))
-    pairs = forms.where("odd").join(b, on).where("text <> text_b and (not odd_b or id < b)")
-    return pairs.select(F.least("id", "b").alias(f"{key}_a"), F.greatest("id", "b").alias(f"{key}_b"))
+    other = lambda d: d.select(*on, F.col("id").alias("b"), F.col("text").alias("text_b"))
+    pairs = odd.join(other(plain), on).where("text <> text_b").unionByName(odd.join(other(odd), on).where("text <> text_b and id < b"))
+    return pairs.select(F.least("id", "b").alias(f"{key}_a"), F.greatest("id", "b").alias(f"{key}_b")).distinct()
