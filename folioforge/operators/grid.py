@@ -221,22 +221,25 @@ def split_merged_udf(html: pd.Series) -> pd.Series:
     return html.map(split_merged)
 
 
-def rough_grid(html: Column) -> Column:
-    """Ragged grid without span expansion, on the JVM."""
+def rough_grid(html: Column, lines: bool = False) -> Column:
+    """Ragged grid without span expansion, on the JVM; ``lines`` keeps the line breaks of cells."""
     rows = F.regexp_extract_all(html, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))
-    return F.transform(rows, lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"), F.lit(1)), tx.plain_text))
+    return F.transform(rows, lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"), F.lit(1)), tx.cell_text if lines else tx.plain_text))
 
 
 def has_spans(html: Column) -> Column:
     return html.rlike("(?i)(row|col)span\\s*=")
 
 
-def grid(html: Column) -> Column:
-    """Rectangular grid: on the JVM where the table has no span, else by the kernel."""
-    rough = rough_grid(html)
+def grid(html: Column, lines: bool = False) -> Column:
+    """Rectangular grid: on the JVM where the table has no span, else by the kernel; ``lines`` keeps the line breaks of cells."""
+    rough = rough_grid(html, lines)
     width = F.array_max(F.transform(rough, F.size))
     flat = F.transform(rough, lambda r: F.concat(r, F.array_repeat(F.lit(""), width - F.size(r))))
-    return F.when(has_spans(html), F.transform(spanned_grid_udf(F.when(has_spans(html), html)), lambda r: F.transform(r, lambda c: F.regexp_replace(c, "\n", " ")))).otherwise(flat)
+    spanned = spanned_grid_udf(F.when(has_spans(html), html))
+    if not lines:
+        spanned = F.transform(spanned, lambda r: F.transform(r, lambda c: F.regexp_replace(c, "\n", " ")))
+    return F.when(has_spans(html), spanned).otherwise(flat)
 
 
 def cells(df: DataFrame, key: Sequence[str], html: str) -> DataFrame:

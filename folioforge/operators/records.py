@@ -24,7 +24,7 @@ def extract(tables: DataFrame, key: str = "table_id") -> DataFrame:
     One pass: grid, decision, rows and values of a table are made where it is;
     nothing is shuffled.
     """
-    decided = tb.decide(tables.select(key, "document_name", "page_idx", "title", gr.grid(F.col("html")).alias("grid"))).where("skip_reason is null")
+    decided = tb.decide(tables.select(key, "document_name", "page_idx", "title", gr.grid(F.col("html"), lines=True).alias("grid"))).where("skip_reason is null")
     rows = decided.select(key, "document_name", "page_idx", "header_idx", "pin_no_col", "pin_name_col", "type_col", "description_col", F.posexplode("grid").alias("row_idx", "row")).where("row_idx > header_idx")
     rows = rows.where(F.exists("row", lambda c: F.trim(c) != ""))
     section = tb.single_value_row(F.col("row"))

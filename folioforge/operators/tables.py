@@ -14,7 +14,7 @@ from folioforge.functions import text as tx
 #: What a header means, in the order in which it is tried, with the trust in it.
 HEADER_RULES: list[tuple[str, str | None, int]] = [
     ("^$|^(pin|signal|terminal)? ?description", None, 0),
-    ("(pin|ball|terminal) (no|number)\\b|引脚编号|端子编号|(引脚|端子|球) *编号", "pin_no", 5),
+    ("(pin|ball|terminal) (no\\b|number)|引脚编号|端子编号|(引脚|端子|球) *编号", "pin_no", 5),
     ("^(pins|balls|terminals)$", "pin_no", 4),
     ("(pin|ball|signal|terminal) name|引脚名称|信号名称|引脚名|(引脚|信号|端子|球) *名称", "pin_name", 5),
     ("(signal|pin|terminal|i ?o) type|引脚类型|信号类型", "type", 5),

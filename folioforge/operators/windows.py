@@ -47,7 +47,7 @@ def subtract_intervals(df: DataFrame, masks: DataFrame, by: Sequence[str], low:
     merged = merge_intervals(masks, by, low, high).withColumnsRenamed({low: "_ml", high: "_mh"})
     base = df.select(*by, low, high).distinct()
     hits = base.join(merged, list(by), "left").where(F.col("_ml").isNull() | ((F.col("_ml") <= F.col(high)) & (F.col("_mh") >= F.col(low))))
-    held = hits.groupBy(*by, low, high).agg(F.array_sort(F.collect_list(F.struct("_ml", "_mh"))).alias("ms"))
+    held = hits.groupBy(*by, low, high).agg(F.filter(F.array_sort(F.collect_list(F.struct("_ml", "_mh"))), lambda m: m["_ml"].isNotNull()).alias("ms"))
     none = base.join(held.select(*by, low, high), [*by, low, high], "left_anti").withColumn("ms", F.array().cast(held.schema["ms"].dataType))
     every = held.unionByName(none)
     starts = F.concat(F.array(F.col(low)), F.transform("ms", lambda m: m["_mh"] + 1))

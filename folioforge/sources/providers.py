@@ -34,8 +34,8 @@ def checked(provider: Provider, inputs: DataFrame) -> DataFrame:
     """The provider's rows; refused if its columns aren't those of its table."""
     out = provider.provide(inputs)
     want = inputs.sparkSession.createDataFrame([], SCHEMAS[provider.table]).schema
-    got = {f.name: f.dataType for f in out.schema}
-    missing = [f.name for f in want if got.get(f.name) != f.dataType]
+    got = {f.name: f.dataType.simpleString() for f in out.schema}
+    missing = [f.name for f in want if got.get(f.name) != f.dataType.simpleString()]
     if missing:
         raise ValueError(f"provider of {provider.table} lacks or mistypes {', '.join(missing)}")
     return out.select(*want.names)

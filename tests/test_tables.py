@@ -76,10 +76,10 @@ def test_reasons(spark):
 
 
 def test_extraction(spark):
-    html = '<table><tr><td>PIN NUMBERS</td><td>Pin Name</td><td>Description</td></tr><tr><td colspan="3">Power</td></tr><tr><td>A1, A2</td><td>SIG_A<br>SIG_B</td><td>both</td></tr><tr><td></td><td>NC_X</td><td></td></tr><tr><td></td><td></td><td></td></tr><tr><td>B1</td><td></td><td>z</td></tr></table>'
+    html = '<table><tr><td>PIN NUMBERS</td><td>Pin Name</td><td>Description</td></tr><tr><td colspan="3">Power</td></tr><tr><td>A1, A2</td><td>SIG_A<br>SIG_B</td><td>both</td></tr><tr><td></td><td>NC_X</td><td>d</td></tr><tr><td></td><td></td><td></td></tr><tr><td>B1</td><td></td><td>z</td></tr></table>'
     df = spark.createDataFrame([(1, "d", 0, "", html)], "table_id bigint, document_name string, page_idx int, title string, html string")
     got = [(r.group, r.pin_no, r.pin_name, r.type, r.description) for r in rec.extract(df).orderBy("row_idx", "pin_seq").collect()]
-    assert got == [("Power", "A1", "SIG_A", None, "both"), ("Power", "A2", "SIG_B", None, "both"), ("Power", "", "NC_X", None, ""), ("Power", "B1", "Reserved", None, "z")]
+    assert got == [("Power", "A1", "SIG_A", None, "both"), ("Power", "A2", "SIG_B", None, "both"), ("Power", "", "NC_X", None, "d"), ("Power", "B1", "Reserved", None, "z")]
 
 
 def test_dedupe_keeps_the_first_and_joins_texts(spark):
