@@ -91,7 +91,7 @@ _NAME = regex.compile(
 )
 _NAME_ZH = re.compile(rf"(?:{'|'.join(DOUBLE_NAMES)})[一-鿿]{{2}}")
 _CUE_ZH = re.compile(r"(?:联系人|收件人|负责人|审核人|借用人|姓名)[：:]?\s?([一-鿿]{2,3})(?=[，,。；;\s]|$)")
-_SEGMENT = re.compile(r"[\r\n]{2,}|(?:\r?\n)(?=[#>|\-])|(?<=[a-zà-ÿ)\d]{2}[.?!])[ ]|[。？！]|  +")
+_SEGMENT = re.compile(r"[\r\n]{2,}|(?:\r?\n)(?=[#>|\-])|(?<=[a-zà-ÿ)\d]{2}[.?!])[ ](?=[A-ZÀ-Þ“(])|[。？！]|  +")
 _WORD_BEFORE = re.compile(r"([\w.'’-]+[:：]?|[(（|<>/：，,;])\s*$")
 _WORD_AFTER = re.compile(r"\s*([\w'’-]+|[^\w\s])")
 
@@ -166,7 +166,7 @@ def candidates(text: str) -> list[Candidate]:
         lines = m[0].count("\n")
         if lines and (lines > 1 or text[text.rfind("\n", 0, m.start()) + 1 : m.start() + 1].lstrip()[:1] in "#|>-"):
             continue  # a heading or a table row doesn't run on
-        if kind == "b" and regex.search(r"[\d°'’kMGmµnp]\s*$", text[max(0, m.start() - 3) : m.start()]):
+        if kind == "b" and regex.search(r"(?:\d\s?|°)$", text[max(0, m.start() - 3) : m.start()]):
             continue  # the letter is a unit
         caps = [x for x in re.findall(r"\b[A-Z]{2,}\b", text[max(0, m.start() - 30) : m.end() + 30])]
         if m[0].isupper() and len(caps) > 4:
@@ -228,9 +228,8 @@ def _rate(df: DataFrame, hit: Column) -> float:
     return min(0.5, max(1e-3, share or 1e-3))
 
 
-def name_disclosure(names: DataFrame) -> DataFrame:
-    """(term, bits) of the terms of name candidates (k, no, terms, hit): what a term tells about a hit."""
-    base = _rate(names, F.col("hit"))
+def name_disclosure(names: DataFrame, base: float) -> DataFrame:
+    """(term, bits) of the terms of name candidates (k, no, terms, hit): what a term tells about a hit, against the rate ``base``."""
     return names.select(F.explode("terms").alias("term"), "hit").groupBy("term").agg(F.count("*").alias("n"), F.sum(F.col("hit").cast("bigint")).alias("hits")).select("term", _bits("n", "hits", base).alias("bits"))
 
 
@@ -251,14 +250,14 @@ def _salt() -> Column:
     return F.pmod(F.hash("k", "no"), F.lit(SALT))
 
 
-def judge_names(names: DataFrame) -> DataFrame:
+def judge_names(names: DataFrame, base: float) -> DataFrame:
     """(k, no, bits): the sum of the bits of a candidate's terms.
 
     The words around a candidate can speak for it, up to ``CONTEXT`` bits each;
     only its own words can speak against it.
     """
     own = F.col("bits")
-    scores = _salted(name_disclosure(names).withColumn("bits", F.when(F.col("term").rlike("^[<>]"), F.least(F.greatest(own, F.lit(0.0)), F.lit(CONTEXT))).otherwise(own)))
+    scores = _salted(name_disclosure(names, base).withColumn("bits", F.when(F.col("term").rlike("^[<>]"), F.least(F.greatest(own, F.lit(0.0)), F.lit(CONTEXT))).otherwise(own)))
     return names.select("k", "no", F.explode("terms").alias("term")).withColumn("salt", _salt()).join(scores, ["term", "salt"]).groupBy("k", "no").agg(F.sum("bits").alias("bits"))
 
 
@@ -276,12 +275,15 @@ def decide(found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     how often their terms belong to names that the first judgement accepted.
     """
     names = found.where("kind like 'name %'").select("k", "no", "terms", F.col("protected").alias("hit"))
+    total = names.count()
+    base = _rate(names, F.col("hit"))
     phrases = fixed_phrases(names)
     given = F.get(F.filter("terms", lambda x: x.startswith("g:")), F.lit(0))
     names = cut(names.withColumn("given", given).join(phrases, "given", "left_anti").drop("given"))
-    first = judge_names(names).select("k", "no", (F.col("bits") >= threshold).alias("hit"))
+    first = judge_names(names, base).select("k", "no", (F.col("bits") >= threshold).alias("hit"))
     second = cut(names.drop("hit").join(first, ["k", "no"]))
-    judged_names = judge_names(second).where(F.col("bits") >= threshold).withColumn("as_kind", F.lit("person_name"))
+    accepted = second.where("hit").count()
+    judged_names = judge_names(second, min(0.5, max(1e-3, accepted / max(total, 1)))).where(F.col("bits") >= threshold).withColumn("as_kind", F.lit("person_name"))
     numbers = found.where("kind in ('phone', 'id_number', 'number')").select("k", "no", "kind", "terms")
     scores = _salted(number_disclosure(numbers))
     judged_numbers = (
