@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import bpe, canon, catalog, leak, pii, scanfix, survivor
+from folioforge.llm import bpe, canon, catalog, leak, oracle, pii, scanfix, survivor
 from folioforge.session import table
 
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
@@ -104,4 +104,4 @@ QUERIES = {
     "p9_found": p9_found,
     "p9_sanitised": p9_sanitised,
 }
-ORACLE: dict[str, str] = {}
+ORACLE = oracle.ORACLE
