@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioforge.functions import geometry as geo
+from folioforge.operators import assign as asg
+from folioforge.operators import chapters as ch
 from folioforge.operators import layout as ly
 from folioforge.operators import render as rd
 from folioforge.plans.registry import Registry
@@ -147,6 +149,31 @@ def batch_summary(parses: DataFrame) -> DataFrame:
     return sinks.batch_summary(parses.select((F.coalesce(F.length("middle_json"), F.lit(0)) > 0).alias("ok"), F.coalesce(F.length("middle_json"), F.lit(0)).cast("bigint").alias("items")))
 
 
+@R.add("win06_chapters", "documents", sql="""
+WITH l AS (SELECT doc_id, i, trim(line) AS t FROM (SELECT doc_id, unnest(range(len(a))) AS i, unnest(a) AS line FROM (SELECT doc_id, string_split(replace(text, chr(13), ''), chr(10)) AS a FROM documents WHERE text IS NOT NULL))),
+h AS (SELECT doc_id, i, t, CASE WHEN regexp_matches(t, '^#{1,6}\\s+\\S') THEN length(regexp_extract(t, '^(#+)', 1)) END AS lv, trim(regexp_replace(regexp_replace(t, '^#{1,6}\\s+', ''), '^\\d{1,2}(\\.\\d{1,3}){0,4}\\.?\\s+', '')) AS title FROM l),
+c AS (SELECT doc_id, i, t, last_value(CASE WHEN lv = 1 THEN i END IGNORE NULLS) OVER w AS a1, last_value(CASE WHEN lv = 1 THEN title END IGNORE NULLS) OVER w AS t1, last_value(CASE WHEN lv = 2 THEN i END IGNORE NULLS) OVER w AS a2, last_value(CASE WHEN lv = 2 THEN title END IGNORE NULLS) OVER w AS t2,
+ last_value(CASE WHEN lv = 3 THEN i END IGNORE NULLS) OVER w AS a3, last_value(CASE WHEN lv = 3 THEN title END IGNORE NULLS) OVER w AS t3 FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING))
+SELECT doc_id, i::INT AS line_no, concat_ws(' > ', t1, CASE WHEN a2 > coalesce(a1, -1) THEN t2 END, CASE WHEN a3 > greatest(coalesce(a1, -1), coalesce(a2, -1)) THEN t3 END) AS path FROM c WHERE starts_with(t, '|')""")
+def chapters(docs: DataFrame) -> DataFrame:
+    """The chapter path of every table row of the Markdown texts (headings with hashes)."""
+    lines = docs.where("text is not null").select("doc_id", F.posexplode(F.split(F.replace("text", F.lit("\r"), F.lit("")), "\n")).alias("line_no", "line"))
+    only = lines.withColumn("head", F.when(F.trim("line").startswith("#"), F.col("line")))
+    return ch.with_chapters(only, ["doc_id"], "line_no", "head").where(F.trim("line").startswith("|")).select("doc_id", "line_no", F.array_join("chapters", " > ").alias("path"))
+
+
+@R.add("jon05_suppressed_boxes", "spans")
+def suppressed_boxes(spans: DataFrame) -> DataFrame:
+    """Spans that stay when boxes on top of better ones go."""
+    return asg.suppress_boxes(_once(spans), _BY, "span_id", "bbox", "score").select("span_id")
+
+
+@R.add("str22_repair_formulas", "spans")
+def repair_formulas(spans: DataFrame) -> DataFrame:
+    """Formulas with balanced sides and braces."""
+    return spans.where("type = 'interline_equation'").select("span_id", asg.repair_formula_udf("content").alias("formula"))
+
+
 def _stream(make, mode: str = "complete"):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = st.read_stream(spark, f"{sf_dir}/events.parquet", "*", table(spark, sf_dir, "events"))
