@@ -234,17 +234,23 @@ def has_spans(html: Column) -> Column:
 def grid(html: Column, lines: bool = False) -> Column:
     """Rectangular grid: on the JVM where the table has no span, else by the kernel; ``lines`` keeps the line breaks of cells."""
     rough = rough_grid(html, lines)
-    width = F.array_max(F.transform(rough, F.size))
-    flat = F.transform(rough, lambda r: F.concat(r, F.array_repeat(F.lit(""), width - F.size(r))))
+    # bound in lambdas, so that the rough grid and its width are made once
+    padded = lambda g: F.transform(F.array(F.array_max(F.transform(g, F.size))), lambda w: F.transform(g, lambda r: F.concat(r, F.array_repeat(F.lit(""), w - F.size(r)))))[0]
+    flat = F.transform(F.array(rough), padded)[0]
     spanned = spanned_grid_udf(F.when(has_spans(html), html))
     if not lines:
         spanned = F.transform(spanned, lambda r: F.transform(r, lambda c: F.regexp_replace(c, "\n", " ")))
     return F.when(has_spans(html), spanned).otherwise(flat)
 
 
+def with_grid(df: DataFrame, html: str, name: str = "grid", lines: bool = False) -> DataFrame:
+    """``df`` with the grid as a column that is made once: a generator stands between it and all that uses it."""
+    return df.select("*", F.explode(F.array(grid(F.col(html), lines))).alias(name))
+
+
 def cells(df: DataFrame, key: Sequence[str], html: str) -> DataFrame:
     """(key, row_idx, col_idx, text): the long form of the grid."""
-    rows = df.select(*key, F.posexplode(grid(F.col(html))).alias("row_idx", "row"))
+    rows = with_grid(df, html).select(*key, F.posexplode("grid").alias("row_idx", "row"))
     return rows.select(*key, "row_idx", F.posexplode("row").alias("col_idx", "text"))
 
 

@@ -24,19 +24,19 @@ def extract(tables: DataFrame, key: str = "table_id") -> DataFrame:
     One pass: grid, decision, rows and values of a table are made where it is;
     nothing is shuffled.
     """
-    decided = tb.decide(tables.select(key, "document_name", "page_idx", "title", gr.grid(F.col("html"), lines=True).alias("grid"))).where("skip_reason is null")
+    decided = tb.decide(gr.with_grid(tables.select(key, "document_name", "page_idx", "title", "html"), "html", lines=True).drop("html")).where("skip_reason is null")
     rows = decided.select(key, "document_name", "page_idx", "header_idx", "pin_no_col", "pin_name_col", "type_col", "description_col", F.posexplode("grid").alias("row_idx", "row")).where("row_idx > header_idx")
     rows = rows.where(F.exists("row", lambda c: F.trim(c) != ""))
     section = tb.single_value_row(F.col("row"))
     w = Window.partitionBy(key).orderBy("row_idx").rowsBetween(Window.unboundedPreceding, 0)
     named = rows.withColumn("section", F.when(section.isNotNull() & ~tb.looks_like_pin(section), section)).withColumn("group", F.last("section", True).over(w))
     data = named.where("section is null")
-    numbers = ranges.split_and_expand(mapped(F.col("row"), F.col("pin_no_col")))
-    names = tx.cell_lines(mapped(F.col("row"), F.col("pin_name_col")))
     raw = mapped(F.col("row"), F.col("pin_name_col"))
-    pairs = F.when(F.size(names) == F.size(numbers), F.zip_with(numbers, names, lambda a, b: F.struct(a.alias("pin_no"), b.alias("pin_name")))).otherwise(F.transform(numbers, lambda n: F.struct(n.alias("pin_no"), raw.alias("pin_name"))))
-    some = F.when(F.size(numbers) == 0, F.array(F.struct(F.lit("").alias("pin_no"), raw.alias("pin_name")))).otherwise(pairs)
-    return data.select(
+    parts = data.withColumns({"_numbers": ranges.split_and_expand(mapped(F.col("row"), F.col("pin_no_col"))), "_names": tx.cell_lines(raw), "_raw": raw})  # each made once
+    numbers, names = F.col("_numbers"), F.col("_names")
+    pairs = F.when(F.size(names) == F.size(numbers), F.zip_with(numbers, names, lambda a, b: F.struct(a.alias("pin_no"), b.alias("pin_name")))).otherwise(F.transform(numbers, lambda n: F.struct(n.alias("pin_no"), F.col("_raw").alias("pin_name"))))
+    some = F.when(F.size(numbers) == 0, F.array(F.struct(F.lit("").alias("pin_no"), F.col("_raw").alias("pin_name")))).otherwise(pairs)
+    return parts.select(
         key, "document_name", "page_idx", F.coalesce("group", F.lit("")).alias("group"), "row_idx", F.posexplode(some).alias("pin_seq", "p"),
         mapped(F.col("row"), F.col("type_col")).alias("type"), mapped(F.col("row"), F.col("description_col")).alias("description"),
     ).select(key, "document_name", "page_idx", "group", "row_idx", "pin_seq", "p.pin_no", tx.clean_name(F.col("p.pin_name")).alias("pin_name"), "type", "description")

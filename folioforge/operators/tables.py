@@ -29,18 +29,28 @@ TYPES = ("i", "o", "i/o", "io", "p", "g", "a", "d", "power", "ground", "input",
 FIRST_ROWS = 12
 
 
-def header_role(c: Column) -> Column:
-    """struct(field, score) of a header; the first rule that fits decides."""
-    h = tx.header_form(tx.strip_footnotes(c))
+def role_form(c: Column) -> Column:
+    """A header in the form that the rules are tried on."""
+    return tx.header_form(tx.strip_footnotes(c))
+
+
+def role_of(h: Column) -> Column:
+    """struct(field, score) of a header in ``role_form``; the first rule that fits decides."""
     out = F.struct(F.lit(None).cast("string").alias("field"), F.lit(0).alias("score"))
     for pattern, field, score in reversed(HEADER_RULES):
         out = F.when(h.rlike(pattern), F.struct(F.lit(field).cast("string").alias("field"), F.lit(score).alias("score"))).otherwise(out)
     return out
 
 
+def header_role(c: Column) -> Column:
+    """struct(field, score) of a header as written."""
+    return role_of(role_form(c))
+
+
 def row_score(row: Column) -> Column:
-    """How much a row looks like a header."""
-    return F.aggregate(F.transform(row, lambda c: header_role(c)["score"]), F.lit(0), lambda a, s: a + s)
+    """How much a row looks like a header. Forms are made once per cell, then bound in the next lambda."""
+    forms = F.transform(row, role_form)
+    return F.aggregate(F.transform(forms, lambda h: role_of(h)["score"]), F.lit(0), lambda a, s: a + s)
 
 
 def header_row(grid: Column) -> Column:
@@ -51,7 +61,7 @@ def header_row(grid: Column) -> Column:
 
 def column_fields(header: Column) -> Column:
     """struct(field, score) of every column; the description column is the first that says so and has no other role."""
-    return F.transform(header, lambda c: F.when(tx.header_form(c).rlike(DESCRIPTION), F.struct(F.lit("description").alias("field"), F.lit(1).alias("score"))).otherwise(header_role(c)))
+    return F.transform(F.transform(header, role_form), lambda h: F.when(h.rlike(DESCRIPTION), F.struct(F.lit("description").alias("field"), F.lit(1).alias("score"))).otherwise(role_of(h)))
 
 
 def field_index(fields: Column, name: str) -> Column:
@@ -83,7 +93,7 @@ def is_ordering(header: Column) -> Column:
 
 def repeats_blocks(header: Column) -> Column:
     """Two or more equal blocks of number, name and type side by side, and nothing else."""
-    roles = F.concat(F.array_join(F.transform(header, lambda c: F.coalesce(header_role(c)["field"], F.lit("other"))), ","), F.lit(","))
+    roles = F.concat(F.array_join(F.transform(F.transform(header, role_form), lambda h: F.coalesce(role_of(h)["field"], F.lit("other"))), ","), F.lit(","))
     return roles.rlike("^(pin_no,pin_name,type,){2,}$|^(pin_no,pin_name,){2,}$")
 
 

@@ -100,7 +100,7 @@ def header_rows(tables: DataFrame) -> DataFrame:
 @R.add("flt01_skip_reasons", "table_candidates")
 def skip_reasons(tables: DataFrame) -> DataFrame:
     """How many tables are left out for which reason."""
-    t = tables.select("table_id", "title", gr.grid(F.col("html")).alias("grid"))
+    t = gr.with_grid(tables.select("table_id", "title", "html"), "html").drop("html")
     return tb.decide(t).groupBy(F.coalesce("skip_reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("tables"))
 
 
