@@ -23,14 +23,15 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-Q = 8
-EDITS = 2
+Q = 12
+EDITS = 1
 MIN_WORDS = 12
 MIN_LETTERS = 20
 MAX_ITEM_CHARS = 4_000_000
@@ -60,19 +61,53 @@ def words(text: str) -> list[str]:
     return [w for w in (_NOT_WORD.sub("", x) for x in plain(text).split()) if w]
 
 
-def grams(letters: str, q: int = Q) -> np.ndarray:
-    """64-bit hashes of all q-grams of a stream."""
-    code = np.frombuffer(letters.encode("utf-32-le"), np.uint32).astype(np.uint64)
+_SLOW = 0xFFFFFFFF
+
+
+@lru_cache(maxsize=1)
+def _table() -> np.ndarray:
+    """For every character of the basic plane what ``stream`` makes of it: one letter, 0 for nothing, or ``_SLOW`` where it depends on others or gives several."""
+    out = np.zeros(0x10000, np.uint32)
+    for c in range(0x10000):
+        x = chr(c)
+        if 0xD800 <= c < 0xE000 or 0x1100 <= c < 0x1200 or unicodedata.combining(x) or x in "Σς":
+            out[c] = _SLOW
+            continue
+        w = _NOT_WORD.sub("", unicodedata.normalize("NFKC", x).lower())
+        out[c] = 0 if not w else ord(w) if len(w) == 1 else _SLOW
+    return out
+
+
+def codes(text: str) -> np.ndarray:
+    """``stream(text)`` as an array of code points, by table where that gives the same."""
+    if "<" not in text and "&" not in text:
+        raw = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        if not len(raw) or raw.max() < 0x10000:
+            out = _table()[raw]
+            if not (out == _SLOW).any():
+                return out[out != 0]
+    return np.frombuffer(stream(text).encode("utf-32-le"), np.uint32)
+
+
+def grams(code: np.ndarray, q: int = Q) -> np.ndarray:
+    """64-bit hashes of all q-grams of a stream, put together from those of halves."""
     if len(code) < q:
         return np.empty(0, np.uint64)
-    n = len(code) - q + 1
-    value = np.zeros(n, np.uint64)
     with np.errstate(over="ignore"):
-        for j in range(q):
-            value = value * _BASE + code[j : j + n] + np.uint64(1)
-        value ^= value >> np.uint64(29)
-        value *= np.uint64(0xBF58476D1CE4E5B9)
-    return value
+        part, size = code.astype(np.uint64) + np.uint64(1), 1
+        out, done = None, 0
+        rest = q
+        while rest:
+            if rest & 1:
+                out = part if out is None else out[: len(part) - done] * _BASE + part[done:]
+                done += size
+            rest >>= 1
+            if rest:
+                part = part[:-size] * np.uint64(0xC2B2AE3D27D4EB4F + size) + part[size:]
+                part = part ^ (part >> np.uint64(31))
+                size *= 2
+        out = out[: len(code) - q + 1]
+        return (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
 @dataclass
@@ -108,7 +143,7 @@ class Index:
         self.items, self.edits = items, edits
         least = min((i.least for i in items), default=q)
         self.q = max(2, min(q, least // (edits + 1) if least < q * (edits + 1) else q))
-        keys = [grams(i.letters, self.q) for i in items]
+        keys = [grams(codes(i.letters), self.q) for i in items]
         self.keys = np.concatenate(keys) if keys else np.empty(0, np.uint64)
         order = np.argsort(self.keys, kind="stable")
         self.keys = self.keys[order]
@@ -116,10 +151,12 @@ class Index:
         self.place = np.concatenate([np.arange(len(k), dtype=np.int64) for k in keys])[order] if keys else np.empty(0, np.int64)
         self.bits = np.zeros(1 << self.BITS, bool)
         self.bits[(self.keys >> np.uint64(64 - self.BITS)).astype(np.int64)] = True
+        #: By the q-gram lemma no passage of any of the items has fewer hits.
+        self.fewest = max(1, least + 1 - self.q * (edits + 1))
 
-    def hits(self, letters: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def hits(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(item, place in item, place in text) of every shared q-gram."""
-        own = grams(letters, self.q)
+        own = grams(code, self.q)
         at = np.flatnonzero(self.bits[(own >> np.uint64(64 - self.BITS)).astype(np.int64)])
         key = own[at]
         low, high = np.searchsorted(self.keys, key, "left"), np.searchsorted(self.keys, key, "right")
@@ -131,10 +168,10 @@ class Index:
         which = np.repeat(low - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
         return self.item[which], self.place[which], np.repeat(at, count)
 
-    def regions(self, letters: str) -> Iterator[tuple[Item, int, int, int]]:
+    def regions(self, code: np.ndarray) -> Iterator[tuple[Item, int, int, int]]:
         """(item, lowest diagonal, first and last place in the text) of bands that meet the bound."""
-        item, place, at = self.hits(letters)
-        if not len(item):
+        item, place, at = self.hits(code)
+        if len(item) < self.fewest:
             return
         width = 2 * max(1, self.edits)
         size = np.array([i.least for i in self.items])
@@ -230,14 +267,21 @@ class Borders:
             self.places.add(at)
 
 
-def leaks(text: str, index: Index, min_words: int = MIN_WORDS, min_letters: int = MIN_LETTERS) -> dict[int, tuple[int, int]]:
+def indexes(items: list[Item], q: int = Q, edits: int = EDITS) -> list[Index]:
+    """Tables of items in words and of items in Chinese apart: their least passages differ, and so does the best ``q``."""
+    return [Index(part, size, edits) for part, size in (([i for i in items if not i.cjk], q), ([i for i in items if i.cjk], min(q, 6))) if part]
+
+
+def leaks(text: str, tables: list[Index], min_words: int = MIN_WORDS) -> dict[int, tuple[int, int]]:
     """Item -> (letters of its longest exact run, fewest edits of a region) for every item that leaked into a text."""
-    letters = stream(text)
+    code = codes(text)
     found: dict[int, tuple[int, int]] = {}
     seen: set[tuple] = set()
     borders: Borders | None = None
-    width = 2 * max(1, index.edits)
-    for item, low, first, last in index.regions(letters):
+    letters = ""
+    for index, (item, low, first, last) in ((t, r) for t in tables for r in t.regions(code)):
+        width = 2 * max(1, index.edits)
+        letters = letters or code.tobytes().decode("utf-32-le")
         key = (item.number, low // width, first, last)
         if key in seen:
             continue
@@ -302,12 +346,12 @@ def find_leaks(
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = [k for k, _ in given.value]
             made = [Item.of(n, t, min_words, min_letters) for n, (_, t) in enumerate(given.value)]
-            index = Index([i for i in made if i], q, edits)
+            tables = indexes([i for i in made if i], q, edits)
             for batch in batches:
                 out = [
                     (k, keys[n], best, cost)
                     for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                    for n, (best, cost) in leaks(t, index, min_words, min_letters).items()
+                    for n, (best, cost) in leaks(t, tables, min_words).items()
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([o[0] for o in out], batch.schema.field(0).type), pa.array([o[1] for o in out]) if out else pa.nulls(0, pa.int64()), pa.array([o[2] for o in out], pa.int32()), pa.array([o[3] for o in out], pa.int32())],
