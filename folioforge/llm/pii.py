@@ -75,6 +75,9 @@ ADDRESS = regex.compile(
     regex.X,
 )
 ADDRESS_ZH = re.compile(r"(?:[一-鿿]{2,3}省)?[一-鿿]{2}市(?:[一-鿿]{2}[区县])?[一-鿿]{1,6}?(?:大道|路|街|巷|弄)\s?\d+号(?:\s?\d+(?:号楼|栋|幢|座))?(?:\s?\d+单元)?(?:\s?\d+(?:室|房))?")
+#: What any email and any address with a postcode must hold, looked for first.
+_AT_SIGN = re.compile(r"@|[\[(]\s?at\s?[\])]", re.I)
+_POSTCODE = re.compile(r"(?<=\s)(?:\d{5}(?!\d)|[A-Z]{1,2}\d[A-Z\d]?\s+\d[A-Z]{2}(?![A-Za-z]))")
 #: Forms of address that stand before a name and are no part of it.
 TITLES = {"mr", "mrs", "ms", "dr", "prof", "frau", "herr", "herrn", "mme", "mlle", "monsieur", "madame", "sir", "dipl", "ing", "m"}
 #: Chinese family names of two characters.
@@ -129,7 +132,7 @@ def _family(name: str) -> list[str]:
 def candidates(text: str) -> list[Candidate]:
     """All candidates of a text, overlapping ones included."""
     out: list[Candidate] = []
-    if "@" in text or "at" in text or "AT" in text:
+    if _AT_SIGN.search(text):
         for m in EMAIL.finditer(text):
             out.append(Candidate("email", m.start(), m.end(), True, []))
     for m in TAGGED_ID.finditer(text):
@@ -148,9 +151,10 @@ def candidates(text: str) -> list[Candidate]:
             out.append(Candidate("id_number", m.start(), stop, True, context))
         elif len(groups) == 1 and digits <= 13:
             out.append(Candidate("number", m.start(), stop, False, context))
-    for pattern in (ADDRESS, ADDRESS_ZH):
-        for m in pattern.finditer(text):
-            out.append(Candidate("address", m.start(), m.end(), True, []))
+    if _POSTCODE.search(text):
+        out += [Candidate("address", m.start(), m.end(), True, []) for m in ADDRESS.finditer(text)]
+    if "号" in text:
+        out += [Candidate("address", m.start(), m.end(), True, []) for m in ADDRESS_ZH.finditer(text)]
     for m in _NAME.finditer(text, overlapped=True):
         if m["a"]:
             if _low(m["ag"]) in TITLES or _low(m["af"]) in TITLES:
@@ -204,7 +208,7 @@ def scan(df: DataFrame, key: str, text: str) -> DataFrame:
                     found = candidates(t)
                     if not found:
                         continue
-                    ends = _bounds(t)
+                    ends = _bounds(t) if any(c.sure for c in found) else []
                     segment = [bisect_right(ends, c.start) for c in found]
                     held: dict[int, list[int]] = {}
                     for i, c in enumerate(found):
