@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -45,6 +47,7 @@ def _shared_folder(spark: SparkSession) -> str:
         if not sc.master.startswith("local[") and sc.master != "local":
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix=f"folioforge-{os.getpid()}-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     sc.setCheckpointDir(folder)
     return sc._jsc.sc().getCheckpointDir().get()
 
