@@ -22,6 +22,7 @@ one row of ``found``; texts are read whole.
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from bisect import bisect_right
@@ -82,6 +83,8 @@ _POSTCODE = re.compile(r"(?<=\s)(?:\d{5}(?!\d)|[A-Z]{1,2}\d[A-Z\d]?\s+\d[A-Z]{2}
 TITLES = {"mr", "mrs", "ms", "dr", "prof", "frau", "herr", "herrn", "mme", "mlle", "monsieur", "madame", "sir", "dipl", "ing", "m"}
 #: Chinese family names of two characters.
 DOUBLE_NAMES = "欧阳 太史 端木 上官 司马 东方 独孤 南宫 万俟 闻人 夏侯 诸葛 尉迟 公羊 赫连 澹台 皇甫 宗政 濮阳 公冶 太叔 申屠 公孙 慕容 仲孙 钟离 长孙 宇文 司徒 鲜于 司空 闾丘 子车 亓官 司寇 巫马 公西 颛孙 壤驷 公良 漆雕 乐正 宰父 谷梁 拓跋 夹谷 轩辕 令狐 段干 百里 呼延 东郭 南门 羊舌 微生 梁丘 左丘 东门 西门 第五".split()
+#: The most frequent Chinese family names of one character.
+SINGLE_NAMES = "王李张刘陈杨黄赵吴周徐孙马朱胡郭何林罗高郑梁谢宋唐许韩冯邓曹彭曾肖田董袁潘于蒋蔡余杜叶程苏魏吕丁任沈姚卢姜崔钟谭陆汪范金石廖贾夏韦傅方白邹孟熊秦邱江尹薛闫段雷侯龙史陶黎贺顾毛郝龚邵万钱严覃武戴莫孔向汤"
 _CAP = r"(?:\p{Lu}[\p{Ll}’']+|\p{Lu}{2,}(?![\p{Ll}_\d]))"
 _FAMILY = rf"{_CAP}(?:-\r?\n?{_CAP})*"
 _NAME = regex.compile(
@@ -93,6 +96,7 @@ _NAME = regex.compile(
     regex.X,
 )
 _NAME_ZH = re.compile(rf"(?:{'|'.join(DOUBLE_NAMES)})[一-鿿]{{2}}")
+_NAME_ZH_SHORT = re.compile(rf"(?=([{SINGLE_NAMES}])([一-鿿]{{1,2}}))")
 _CUE_ZH = re.compile(r"(?:联系人|收件人|负责人|审核人|借用人|姓名)[：:]?\s?([一-鿿]{2,3})(?=[，,。；;\s]|$)")
 _SEGMENT = re.compile(r"[\r\n]{2,}|(?:\r?\n)(?=[#>|\-])|(?<=[a-zà-ÿ)\d]{2}[.?!])[ ](?=[A-ZÀ-Þ“(])|[。？！]|  +")
 _WORD_BEFORE = re.compile(r"([\w.'’-]+[:：]?|[(（|<>/：，,;])\s*$")
@@ -178,6 +182,10 @@ def candidates(text: str) -> list[Candidate]:
         out.append(Candidate(f"name {kind}", m.start(), m.end(), False, [*terms, *_context(text, m.start(), m.end())]))
     for m in _NAME_ZH.finditer(text):
         out.append(Candidate("name z", m.start(), m.end(), False, [f"z:{m[0][:2]}", f"z2:{m[0][2:]}"]))
+    for m in _NAME_ZH_SHORT.finditer(text):
+        for stop in range(m.start() + 2, m.end(2) + 1):
+            around = [f"<{text[max(0, m.start() - 2) : m.start()]}", f">{text[stop : stop + 2]}"]
+            out.append(Candidate("name s", m.start(), stop, False, [f"z:{m[1]}", *(f"z1:{x}" for x in text[m.start() + 1 : stop]), *around]))
     for m in _CUE_ZH.finditer(text):
         out.append(Candidate("name z", m.start(1), m.end(1), False, [f"<{text[m.start():m.start(1)].rstrip('：: ')}"]))
     return out
@@ -255,21 +263,36 @@ def _salt() -> Column:
 
 
 def judge_names(names: DataFrame, base: float) -> DataFrame:
-    """(k, no, bits): the sum of the bits of a candidate's terms.
+    """(k, no, bits): the sum of the bits of a candidate's terms, less those against it (``against``).
 
     The words around a candidate can speak for it, up to ``CONTEXT`` bits each;
     only its own words can speak against it.
     """
     own = F.col("bits")
     scores = _salted(name_disclosure(names, base).withColumn("bits", F.when(F.col("term").rlike("^[<>]"), F.least(F.greatest(own, F.lit(0.0)), F.lit(CONTEXT))).otherwise(own)))
-    return names.select("k", "no", F.explode("terms").alias("term")).withColumn("salt", _salt()).join(scores, ["term", "salt"]).groupBy("k", "no").agg(F.sum("bits").alias("bits"))
+    terms = names.select("k", "no", "against", F.explode("terms").alias("term")).withColumn("salt", _salt())
+    return terms.join(scores, ["term", "salt"]).groupBy("k", "no").agg((F.sum("bits") - F.first("against")).alias("bits"))
 
 
-def fixed_phrases(names: DataFrame) -> DataFrame:
-    """(given): first parts that only ever stand with one second part, and that often: phrases, not names."""
-    part = lambda mark: F.get(F.filter("terms", lambda x: x.startswith(mark)), F.lit(0))
-    pairs = names.select(part("g:").alias("given"), part("f:").alias("family")).where("given is not null")
-    return pairs.groupBy("given").agg(F.count("*").alias("n"), F.min("family").alias("low"), F.max("family").alias("high")).where("n >= 3 and low = high").select("given")
+def _part(mark: str) -> Column:
+    return F.get(F.filter("terms", lambda x: x.startswith(mark)), F.lit(0))
+
+
+def fixed_phrases(names: DataFrame, base: float) -> DataFrame:
+    """(given, phrase): first parts that only ever stand with one second part, and the bits against their being names.
+
+    The bits grow with the number of different surroundings, so that copies of one
+    text count once, and reach at most what a term can say for a name.
+    """
+    rows = names.select(_part("g:").alias("given"), _part("f:").alias("family"), F.struct(_part("<"), _part(">")).alias("around")).where("given is not null").distinct()
+    pairs = rows.groupBy("given").agg(F.count_distinct("around").alias("n"), F.min("family").alias("low"), F.max("family").alias("high"))
+    return pairs.where("n >= 3 and low = high").select("given", F.least(F.log2("n"), F.lit(-math.log2(base))).alias("phrase"))
+
+
+def _against(names: DataFrame, phrases: DataFrame) -> DataFrame:
+    """``names`` with the bits of their phrase, if any; the join is salted."""
+    salted = names.withColumn("given", _part("g:")).withColumn("salt", _salt())
+    return salted.join(_salted(phrases), ["given", "salt"], "left").drop("given", "salt")
 
 
 def decide(found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -278,15 +301,15 @@ def decide(found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Names are judged twice: first by the protected entities beside them, then by
     how often their terms belong to names that the first judgement accepted.
     """
-    names = found.where("kind like 'name %'").select("k", "no", "terms", F.col("protected").alias("hit"))
-    total = names.count()
-    base = _rate(names, F.col("hit"))
-    phrases = fixed_phrases(names)
-    given = F.get(F.filter("terms", lambda x: x.startswith("g:")), F.lit(0))
-    names = cut(names.withColumn("given", given).join(phrases, "given", "left_anti").drop("given"))
+    names = found.where("kind like 'name %'").select("k", "no", "kind", "terms", F.col("protected").alias("hit"))
+    firm = F.col("kind") != "name s"  # the many short stretches of Chinese text don't set the rates
+    total = names.where(firm).count()
+    base = _rate(names.where(firm), F.col("hit"))
+    against = F.when(F.col("hit"), 0.0).otherwise(F.coalesce("phrase", F.lit(0.0)))
+    names = cut(_against(names, fixed_phrases(names, base)).withColumn("against", against).drop("phrase"))
     first = judge_names(names, base).select("k", "no", (F.col("bits") >= threshold).alias("hit"))
     second = cut(names.drop("hit").join(first, ["k", "no"]))
-    accepted = second.where("hit").count()
+    accepted = second.where(firm & F.col("hit")).count()
     judged_names = judge_names(second, min(0.5, max(1e-3, accepted / max(total, 1)))).where(F.col("bits") >= threshold).withColumn("as_kind", F.lit("person_name"))
     numbers = found.where("kind in ('phone', 'id_number', 'number')").select("k", "no", "kind", "terms")
     scores = _salted(number_disclosure(numbers))

@@ -267,3 +267,22 @@ def test_names_are_learned_from_the_corpus(spark):
     assert "Contact: [PERSON]; tel. [PHONE]" in clean[2] and "Wien Bridge" in clean[2]
     assert "Thanks to [PERSON] for" in clean[3]
     assert pii.find_personal(docs.limit(0)).count() == 0
+
+
+def test_rare_given_names_are_kept_in_copies(spark):
+    phrase = [f"Part {i}x Gate Driver {w} {i}." for i, w in enumerate(["holds", "runs", "heats", "rests"] * 20)]
+    contacts = [f"Contact: {g} {f}; tel. +1 555 555 {i:04d}" for i, (g, f) in enumerate([("Maren", "Holvock"), ("Tobias", "Pelvling"), ("Maren", "Pelvling"), ("Tobias", "Holvock")] * 8)]
+    copies = ["Contact: Ysolde Quormark; tel. +1 555 555 9999"] * 6
+    docs = spark.createDataFrame(list(enumerate(phrase + contacts + copies)), "doc_id bigint, text string")
+    found = pii.find_personal(docs).where("kind = 'person_name'").groupBy("item_text").count().collect()
+    counts = {r.item_text: r["count"] for r in found}
+    assert counts["Ysolde Quormark"] == 6 and "Gate Driver" not in counts
+
+
+def test_chinese_names_of_one_character_families(spark):
+    plain = [f"引脚 {i} 应通过电阻连接到模拟地，王水温度高于 {i} 度。" for i in range(40)]
+    contacts = [f"请找{n}，电话：010-0000-{4000 + i}" for i, n in enumerate(["张伟明", "李娜", "张秀娜", "李伟"] * 8)]
+    texts = [*plain, *contacts, "张伟明与李娜共同完成了布局评审。"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {(r.doc_id, r.item_text) for r in pii.find_personal(docs).where("kind = 'person_name'").collect()}
+    assert {(40, "张伟明"), (41, "李娜")} <= found and not [x for i, x in found if i < 40]
