@@ -22,6 +22,11 @@ def _flat(tables: DataFrame) -> DataFrame:
     return tables.where(~gr.has_spans(F.col("html"))).withColumn("grid", gr.rough_grid(F.col("html")))
 
 
+def _whole(tables: DataFrame) -> DataFrame:
+    """All tables that have a row, with spans written out in their grid."""
+    return gr.with_grid(tables, "html").where(F.size("grid") > 0)
+
+
 @R.add("prj05_rough_grid", "table_candidates", sql=f"""
 SELECT table_id, loaded_at, (row_idx - 1)::INT AS row_idx, (col_idx - 1)::INT AS col_idx, row[col_idx] AS text FROM (
  SELECT *, unnest(range(1, len(row) + 1)) AS col_idx FROM (SELECT table_id, loaded_at, row_idx, g[row_idx] AS row FROM (SELECT *, unnest(range(1, len(g) + 1)) AS row_idx FROM ({_GRID}))))""")
@@ -31,6 +36,12 @@ def rough_grid(tables: DataFrame) -> DataFrame:
     return rows.select("table_id", "loaded_at", "row_idx", F.posexplode("row").alias("col_idx", "text"))
 
 
+@R.add("prj05_whole_grid", "table_candidates")
+def whole_grid(tables: DataFrame) -> DataFrame:
+    """Cells of all tables, in long form."""
+    return gr.cells(tables, ["table_id", "loaded_at"], "html")
+
+
 @R.add("prj07_spanned_grid", "part", sql="""
 SELECT p_brand, (row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1)::INT AS row_idx, p_brand || '|' || p_partkey || '|' || p_name || '|' || p_name AS row FROM part""")
 def spanned_grid(part: DataFrame) -> DataFrame:
@@ -88,6 +99,13 @@ def header_roles(tables: DataFrame) -> DataFrame:
     return heads.groupBy(tx.header_form(tx.strip_footnotes(F.col("c"))).alias("header"), tb.header_role(F.col("c"))["field"].alias("field")).agg(F.count("*").alias("n"))
 
 
+@R.add("stc01_whole_header_roles", "table_candidates")
+def whole_header_roles(tables: DataFrame) -> DataFrame:
+    """What the headers of all tables mean, those with spans included."""
+    heads = _whole(tables).select(F.explode(F.get("grid", F.lit(0))).alias("c"))
+    return heads.groupBy(tx.header_form(tx.strip_footnotes(F.col("c"))).alias("header"), tb.header_role(F.col("c"))["field"].alias("field")).agg(F.count("*").alias("n"))
+
+
 @R.add("agg12_header_row", "table_candidates", sql=f"""
 SELECT table_id, loaded_at, max(s)::INT AS score, min_by(i, -s * 100 + i)::INT AS header_idx FROM (
  SELECT table_id, loaded_at, i - 1 AS i, list_sum(list_transform(g[i], lambda c: {_SCORE})) AS s FROM (SELECT *, unnest(range(1, least(len(g), 12) + 1)) AS i FROM ({_GRID}))) GROUP BY ALL""")
@@ -97,6 +115,13 @@ def header_rows(tables: DataFrame) -> DataFrame:
     return _flat(tables).where(F.size("grid") > 0).select("table_id", "loaded_at", best["score"].alias("score"), (-best["minus"]).alias("header_idx"))
 
 
+@R.add("agg12_whole_header_row", "table_candidates")
+def whole_header_rows(tables: DataFrame) -> DataFrame:
+    """The header row of each table, those with spans included."""
+    best = tb.header_row(F.col("grid"))
+    return _whole(tables).select("table_id", "loaded_at", best["score"].alias("score"), (-best["minus"]).alias("header_idx"))
+
+
 @R.add("flt01_skip_reasons", "table_candidates")
 def skip_reasons(tables: DataFrame) -> DataFrame:
     """How many tables are left out for which reason."""
@@ -112,6 +137,13 @@ def section_rows(tables: DataFrame) -> DataFrame:
     return rows.select("table_id", "loaded_at", "row_idx", tb.single_value_row(F.col("row")).alias("section")).where("section is not null")
 
 
+@R.add("flt15_whole_section_rows", "table_candidates")
+def whole_section_rows(tables: DataFrame) -> DataFrame:
+    """Rows of several cells that hold one value, one cell over several columns included."""
+    rows = _whole(tables).select("table_id", "loaded_at", F.posexplode("grid").alias("row_idx", "row"))
+    return rows.select("table_id", "loaded_at", "row_idx", tb.single_value_row(F.col("row")).alias("section")).where("section is not null")
+
+
 @R.add("prj13_combined_headers", "table_candidates", sql=f"""
 SELECT table_id, loaded_at, (i - 1)::INT AS col_idx, CASE WHEN g[1][i] = '' THEN coalesce(g[2][i], '') WHEN coalesce(g[2][i], '') IN ('', g[1][i]) THEN g[1][i] ELSE g[1][i] || ' ' || g[2][i] END AS header FROM (SELECT *, unnest(range(1, len(g[1]) + 1)) AS i FROM ({_GRID}))""")
 def combined_headers(tables: DataFrame) -> DataFrame:
@@ -119,6 +151,12 @@ def combined_headers(tables: DataFrame) -> DataFrame:
     return _flat(tables).where(F.size("grid") > 0).select("table_id", "loaded_at", F.posexplode(tb.combined_headers(F.col("grid"), F.lit(1))).alias("col_idx", "header"))
 
 
+@R.add("prj13_whole_combined_headers", "table_candidates")
+def whole_combined_headers(tables: DataFrame) -> DataFrame:
+    """Headers over the first two rows of all tables, equal parts once."""
+    return _whole(tables).select("table_id", "loaded_at", F.posexplode(tb.combined_headers(F.col("grid"), F.lit(1))).alias("col_idx", "header"))
+
+
 @R.add("prj30_row_sample", "orders", sql="""
 SELECT o_orderkey FROM (SELECT o_orderkey, count(*) OVER w AS n, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS i FROM orders WINDOW w AS (PARTITION BY o_custkey))
 WHERE n <= 30 OR (n <= 200 AND (i < 8 OR i >= n - 8 OR (i >= n // 2 - 2 AND i < n // 2 + 2))) OR (n > 200 AND (i < 6 OR i >= n - 6 OR list_contains(list_transform(range(8), lambda k: 6 + ((k * 2 + 1) * (n - 12)) // 16), i)))""")

@@ -97,3 +97,24 @@ def test_dedupe_keeps_the_first_and_joins_texts(spark):
 def test_samples(spark, n, size, some):
     picked = {r.id for r in spark.range(n).where(tb.sample_rows(F.lit(n), F.col("id"))).collect()}
     assert len(picked) == size and some <= picked
+
+
+def test_whole_queries_cover_spanned_tables(spark):
+    from folioforge.plans import table_queries as tq
+
+    spanned = (
+        '<table><tr><td rowspan="2">Pin No.</td><td colspan="2">Pin Name</td></tr><tr><td>A</td><td>B</td></tr>'
+        '<tr><td colspan="3">Power</td></tr><tr><td>1</td><td>VDD</td><td>VSS</td></tr></table>'
+    )
+    tables = {1: spanned, 2: table(("Pin", "Type"), ("1", "I"), ("Same", "Same"))}
+    df = spark.createDataFrame([(k, None, h) for k, h in tables.items()] + [(3, None, None), (4, None, "")], "table_id bigint, loaded_at timestamp, html string")
+    grids = {k: gr.spanned_grid(h) for k, h in tables.items()}
+    cells = {(r.table_id, r.row_idx, r.col_idx, r.text) for r in tq.whole_grid(df).collect()}
+    assert cells == {(k, y, x, c) for k, g in grids.items() for y, row in enumerate(g) for x, c in enumerate(row)}
+    sections = {(r.table_id, r.row_idx, r.section) for r in tq.whole_section_rows(df).collect()}
+    assert sections == {(k, y, row[0]) for k, g in grids.items() for y, row in enumerate(g) if len(row) > 1 and len(set(row) - {""}) == 1}
+    headers = {(r.table_id, r.col_idx): r.header for r in tq.whole_combined_headers(df).collect()}
+    assert [headers[1, i] for i in range(3)] == ["Pin No.", "Pin Name A", "Pin Name B"] and headers[2, 0] == "Pin 1"
+    roles = {r.header: (r.field, r.n) for r in tq.whole_header_roles(df).collect()}
+    assert roles["pin no."] == ("pin_no", 1) and roles["pin name"] == ("pin_name", 2) and roles["pin"] == ("pin_no", 1)
+    assert {(r.table_id, r.header_idx) for r in tq.whole_header_rows(df).collect()} == {(1, 0), (2, 0)}
