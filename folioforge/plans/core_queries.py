@@ -9,7 +9,7 @@ from folioforge.operators.packed import split_packed
 from folioforge.operators.shred import LAYERS, page_tables, shred, span_places
 from folioforge.session import table
 
-FIELDS = {"pages": ("page_idx",), "blocks": ("type", "index", "level", "bbox"), "lines": ("bbox",), "spans": ("type", "content", "score", "bbox")}
+FIELDS = {"pages": ("page_idx",), "blocks": ("type", "index", "level", "bbox"), "children": ("type", "index", "level", "bbox"), "lines": ("bbox",), "spans": ("type", "content", "score", "bbox")}
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +40,7 @@ QUERIES = {
     "p5_found": p5_found,
     "p5_pages": _entities("pages"),
     "p5_blocks": _entities("blocks"),
+    "p5_children": _entities("children"),
     "p5_lines": _entities("lines"),
     "p5_spans": _entities("spans"),
     "p6_found": p6_found,

@@ -56,3 +56,13 @@ def test_entities_keep_links_and_scalars(spark):
 
 def test_empty_table(spark):
     assert span_places(shred(spark.createDataFrame([], "k bigint, t string"), "k", "t", scalars=False)).count() == 0
+
+
+def test_every_line_has_its_owner_in_a_block_table(spark):
+    import __spark_entry__ as e
+
+    rows = {n: e.queries()[f"p5_{n}"](spark, "/root/testdata/sf0.001").collect() for n in ("blocks", "children", "lines")}
+    blocks = {(r.parse_id, r.node) for r in rows["blocks"]}
+    children = {(r.parse_id, r.node) for r in rows["children"]}
+    assert children and not children & blocks and {(r.parse_id, r.parent) for r in rows["children"]} <= blocks
+    assert {(r.parse_id, r.parent) for r in rows["lines"]} <= blocks | children
