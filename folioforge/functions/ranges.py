@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: The ends of a range are at most this far apart, else it is no range.
 LIMIT = 1000
 
 
 def _series(prefix: Column, a: Column, b: Column, suffix: Column, width: Column, both_ways: bool) -> Column:
-    low, high = a.cast("int"), b.cast("int")
-    ok = (F.abs(high - low) < LIMIT) & ((low != high) if both_ways else (low < high))
-    step = F.when(high < low, -1).otherwise(1)
+    low, high = a.try_cast("bigint"), b.try_cast("bigint")
+    ok = (F.abs(high - low) <= LIMIT) & ((low != high) if both_ways else (low < high))
+    step = F.when(high < low, -1).otherwise(1).cast("bigint")
     pad = lambda n: F.when(F.length(n.cast("string")) >= width, n.cast("string")).otherwise(F.lpad(n.cast("string"), width, F.lit("0")))
     return F.when(ok, F.transform(F.sequence(low, high, step), lambda n: F.concat(prefix, pad(n), suffix)))
 
@@ -21,7 +22,7 @@ def _width(a: Column) -> Column:
 
 
 def expand_numbers(c: Column) -> Column:
-    """``01-03`` as its numbers; null if the text is no ascending range of fewer than ``LIMIT``."""
+    """``01-03`` as its numbers; null if the text is no ascending range or its ends are more than ``LIMIT`` apart."""
     a, b = F.regexp_extract(c, r"^\s*(\d+)\s*-\s*(\d+)\s*$", 1), F.regexp_extract(c, r"^\s*(\d+)\s*-\s*(\d+)\s*$", 2)
     return F.when(a != "", _series(F.lit(""), a, b, F.lit(""), _width(a), False))
 

@@ -23,7 +23,8 @@ from pyspark.sql.types import ArrayType, StringType
 
 from folioforge.functions import text as tx
 
-MAX_SPAN = 1000
+#: Fixed value: the most columns of a cell by the HTML standard.
+MAX_COLS = 1000
 
 
 class Cell(NamedTuple):
@@ -36,7 +37,7 @@ class Cell(NamedTuple):
 
 
 def _span(value: str | None) -> int:
-    return min(int(value), MAX_SPAN) if value and value.strip().isdigit() and int(value) > 0 else 1
+    return int(value) if value and value.strip().isdigit() and int(value) > 0 else 1
 
 
 class _Reader(HTMLParser):
@@ -70,7 +71,7 @@ class _Reader(HTMLParser):
             if not self.rows:
                 self.rows.append([])
             given = dict(attrs)
-            self._shape = (_span(given.get("rowspan")), _span(given.get("colspan")), tag == "th")
+            self._shape = (_span(given.get("rowspan")), min(_span(given.get("colspan")), MAX_COLS), tag == "th")
             self._text = []
         elif tag == "br" and self._text is not None:
             self._text.append("\n")

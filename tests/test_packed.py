@@ -1,7 +1,9 @@
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from folioforge.functions import ranges
 from folioforge.operators.packed import NAME, SEPARATORS, parse_cell, split_names, split_numbers, split_packed
 
 
@@ -62,3 +64,17 @@ def test_table(spark):
         (4, "pin_no", 1, "5"), (4, "pin_no", 2, "6"), (4, "pin_no", 3, "7"),
     ]
     assert split_packed(df.limit(0)).count() == 0
+
+
+def test_ranges_reach_as_far_as_they_may(spark):
+    assert texts(split_numbers("1-1001")) == [str(n) for n in range(1, 1002)]
+    cells = spark.createDataFrame([("1-1001", "DATA[1000:0]")], "a string, b string")
+    row = cells.select(ranges.split_and_expand(F.col("a")).alias("a"), ranges.split_and_expand(F.col("b")).alias("b")).first()
+    assert row.a == [str(n) for n in range(1, 1002)] and row.b == [f"DATA{n}" for n in range(1000, -1, -1)]
+
+
+def test_bracket_ranges_stand_for_all_their_values(spark):
+    assert texts(split_names("DATA[1155:0]", 1156)) == [f"DATA{n}" for n in range(1155, -1, -1)]
+    df = spark.createDataFrame([(1, "1-1000, 1001-1156", "DATA[1155:0]"), (2, None, "A[0:24999]")], "row_id bigint, pin_no string, pin_name string")
+    got = {(r.row_id, r.field_name): (r["n"], r["last"]) for r in split_packed(df).groupBy("row_id", "field_name").agg(F.count("*").alias("n"), F.max_by("item_text", "item_no").alias("last")).collect()}
+    assert got == {(1, "pin_no"): (1156, "1156"), (1, "pin_name"): (1156, "DATA0"), (2, "pin_name"): (25000, "A24999")}

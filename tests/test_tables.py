@@ -118,3 +118,8 @@ def test_whole_queries_cover_spanned_tables(spark):
     roles = {r.header: (r.field, r.n) for r in tq.whole_header_roles(df).collect()}
     assert roles["pin no."] == ("pin_no", 1) and roles["pin name"] == ("pin_name", 2) and roles["pin"] == ("pin_no", 1)
     assert {(r.table_id, r.header_idx) for r in tq.whole_header_rows(df).collect()} == {(1, 0), (2, 0)}
+
+
+def test_a_row_span_reaches_as_far_as_the_table():
+    html = f'<table><tr><td rowspan="1500">B</td><td>0</td></tr>{"".join(f"<tr><td>{i}</td></tr>" for i in range(1, 1500))}</table>'
+    assert gr.spanned_grid(html) == [["B", str(i)] for i in range(1500)]
