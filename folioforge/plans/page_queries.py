@@ -99,6 +99,13 @@ def block_texts(spans: DataFrame) -> DataFrame:
     return rd.block_texts(s, _BY, ["line_seq", "span_seq", "span_id"]).select(*_BY, "block_seq", "text")
 
 
+@R.add("prj04_whole_block_texts", "spans")
+def whole_block_texts(spans: DataFrame) -> DataFrame:
+    """Texts of blocks, of all their lines."""
+    s = _once(spans).where("type = 'text' and content <> ''")
+    return rd.block_texts(s, _BY, ["line_seq", "span_seq", "span_id"]).select(*_BY, "block_seq", "text")
+
+
 @R.add("prj26_markdown", "spans")
 def markdown(spans: DataFrame) -> DataFrame:
     """Every document as Markdown."""

@@ -86,6 +86,12 @@ def split_merged(nation: DataFrame, region: DataFrame) -> DataFrame:
     return parts.select(F.regexp_extract("html", r"Section (\d+)", 1).cast("int").alias("key"), "part", F.regexp_count("html", F.lit("<tr>")).cast("bigint").alias("rows"))
 
 
+@R.add("win18_whole_split_merged", "table_candidates")
+def whole_split_merged(tables: DataFrame) -> DataFrame:
+    """The parts of every table."""
+    return tables.select("table_id", "loaded_at", F.posexplode(gr.split_merged_udf("html")).alias("part", "html"))
+
+
 _H = "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim(regexp_replace({}, '\\(\\s*\\d+(\\s*,\\s*\\d+)*\\s*\\)', '', 'g'))), '\\[[^\\]]*\\]', '', 'g'), '[$\\\\^†‡*]', '', 'g'), '[_/-]', ' ', 'g'), '\\s+', ' ', 'g'))"
 _ROLE = "CASE " + " ".join(f"WHEN regexp_matches({{h}}, '{p}') THEN {{out{i}}}" for i, (p, _, _) in enumerate(tb.HEADER_RULES)) + " ELSE {none} END"
 _FIELD = _ROLE.format(h="h", none="NULL", **{f"out{i}": f"'{f}'" if f else "NULL" for i, (_, f, _) in enumerate(tb.HEADER_RULES)})

@@ -208,6 +208,13 @@ def longest_prefix(part: DataFrame) -> DataFrame:
     return jn.longest_prefix(part.select("p_partkey", "p_name"), names, "p_name", "name").select("p_partkey", "name")
 
 
+@R.add("jon14_whole_longest_prefix", "part")
+def whole_longest_prefix(part: DataFrame) -> DataFrame:
+    """The longest known beginning of every part's name, of the beginnings that all parts give."""
+    names = part.select(F.expr("substring(p_name, 1, 4 + p_partkey % 5)").alias("name"))
+    return jn.longest_prefix(part.select("p_partkey", "p_name"), names, "p_name", "name").select("p_partkey", "name")
+
+
 @R.add("jon16_row_lookup", "pin_rows", "table_candidates", sql="SELECT r.row_id, r.loaded_at, t.title FROM pin_rows r LEFT JOIN (SELECT table_id, min(title) AS title FROM table_candidates GROUP BY 1) t ON r.table_id = t.table_id")
 def row_lookup(rows: DataFrame, tables: DataFrame) -> DataFrame:
     """Rows with the title of their table."""

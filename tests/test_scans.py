@@ -158,3 +158,29 @@ def test_provider_contract(spark):
     assert providers.checked(Good(), spark.range(1)).count() == 1
     with pytest.raises(ValueError, match="cells"):
         providers.checked(Bad(), spark.range(1))
+
+
+def test_whole_queries_leave_no_row_out(spark):
+    from folioforge.plans import page_queries as pq
+    from folioforge.plans import window_queries as wq
+
+    lines = [(0, 0, "The ampli-"), (0, 1, "fier is on."), (1, 0, "输出电压"), (1, 1, "稳定"), (2, 0, "plain"), (2, 1, "text")]
+    rows = [(i, "d", 0, b, n, 0, "text", "text", t, None, None, None, None, None) for i, (b, n, t) in enumerate(lines)]
+    schema = "span_id bigint, document_name string, page_idx int, block_seq int, line_seq int, span_seq int, block_type string, type string, content string, loaded_at timestamp, html string, image_path string, bbox array<double>, page_size array<double>"
+    texts = {r.block_seq: r.text for r in pq.whole_block_texts(spark.createDataFrame(rows, schema)).collect()}
+    assert texts == {0: "The amplifier is on.", 1: "输出电压稳定", 2: "plain text"}
+    names = {k: n for k, n in zip(range(1, 31), ["green metal", "green mint", "grey lace"] * 10)}
+    got = {r.p_partkey: r.name for r in wq.whole_longest_prefix(spark.createDataFrame(list(names.items()), "p_partkey bigint, p_name string")).collect()}
+    known = {n[: 4 + k % 5] for k, n in names.items()}
+    assert got == {k: max((x for x in known if n.startswith(x)), key=len) for k, n in names.items()}
+
+
+def test_every_table_is_split(spark):
+    from folioforge.operators import grid as gr
+    from folioforge.plans import table_queries as tq
+
+    head, row = "<tr><td>Pin No.</td><td>Pin Name</td></tr>", "<tr><td>1</td><td>A</td></tr>"
+    merged = f"<table>{head}{row * 2}<tr><td colspan='2'>Two</td></tr>{head}{row}</table>"
+    df = spark.createDataFrame([(1, None, merged), (2, None, f"<table>{head}{row}</table>"), (3, None, None)], "table_id bigint, loaded_at timestamp, html string")
+    got = {(r.table_id, r.part, r.html) for r in tq.whole_split_merged(df).collect()}
+    assert got == {(k, i, h) for k, t in ((1, merged), (2, f"<table>{head}{row}</table>")) for i, h in enumerate(gr.split_merged(t))} and len(got) == 3
