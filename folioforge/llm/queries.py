@@ -34,6 +34,11 @@ def p2_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scanfix.paragraphs(table(spark, sf_dir, "spans"), table(spark, sf_dir, "table_candidates"))
 
 
+def p2_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables with clean cells, without rows that are page furniture."""
+    return scanfix.clean_tables(table(spark, sf_dir, "spans"), table(spark, sf_dir, "table_candidates"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of records of one pin."""
     return survivor.duplicate_pairs(table(spark, sf_dir, "pins"))
@@ -94,6 +99,7 @@ QUERIES = {
     "p1_canonical": p1_canonical,
     "p2_found": p2_found,
     "p2_paragraphs": p2_paragraphs,
+    "p2_tables": p2_tables,
     "p3_found": p3_found,
     "p3_survivors": p3_survivors,
     "p4_found": p4_found,

@@ -123,6 +123,42 @@ def test_noise_of_spans_and_tables(spark):
     assert scanfix.find_noise(spark.createDataFrame([], schema), spark.createDataFrame([], "table_id bigint, html string")).count() == 0
 
 
+def test_words_over_pages_rare_words_and_clean_tables(spark):
+    schema = "span_id bigint, document_name string, page_idx int, page_size array<double>, block_seq int, block_type string, line_seq int, span_seq int, bbox array<double>, content string"
+    words = ["the settling time of the amplifier stays below the maximum overshoot."] * 9
+    rows, n = [], 0
+    for doc in range(1, 9):
+        for p in range(4):
+            body = [*words]
+            if doc == 1 and p == 0:
+                body += ["it holds the ampli-"]
+            if doc == 1 and p == 1:
+                body = []
+            if doc == 1 and p == 2:
+                body = ["fier stays below and runs", *words, "the time of the"]
+            if doc == 1 and p == 3:
+                body = ["settling is low.", *words]
+            rows += page(doc, p if p < 2 or doc > 1 else p + 700, body, n)
+            n += 100
+    texts = scanfix.paragraphs(spark.createDataFrame(rows, schema), spark.createDataFrame([], "table_id bigint, html string"))
+    got = [r.text for r in texts.where("document_name = 'doc1'").collect()]
+    assert "it holds the amplifier stays below and runs" in got and "the time of the settling is low." in got
+    assert not [t for t in got if "Acme" in t or t.startswith("-")]
+    noise = scanfix.find_noise(spark.createDataFrame(rows, schema), spark.createDataFrame([], "table_id bigint, html string"))
+    assert {r.origin_id for r in noise.where("noise = 'hyphen'").collect()} == {r[0] for r in rows if r[9] == "it holds the ampli-"}
+    tables = [(1, "<table><tr><td>- 4 -</td><td></td></tr><tr><td>the sett-<br>ling rnaximum</td><td>l/O</td></tr><tr><td colspan='2'>Acme Logic confidential</td></tr></table>"), (2, None)]
+    clean = scanfix.clean_tables(spark.createDataFrame(rows, schema), spark.createDataFrame(tables, "table_id bigint, html string")).collect()
+    assert [tuple(r) for r in clean] == [(1, "<table><tr><td>the settling maximum</td><td>I/O</td></tr></table>")]
+
+
+def test_rare_words_are_decided_by_their_counts(spark):
+    counts = spark.createDataFrame([("quokka", 400), ("quakko", 2), ("quokko", 300), ("zebra", 3), ("zehra", 1), ("the", 10**6)], "token string, n bigint")
+    got = {tuple(r) for r in scanfix.rare_misreads(counts, frozenset(["the"])).collect()}
+    assert got == {("quakko", "quokko")}  # quokka and quokko are too near in frequency
+    more = spark.createDataFrame([("wombat", 400), ("wombot", 2), ("wombet", 9)], "token string, n bigint")
+    assert {tuple(r) for r in scanfix.rare_misreads(more, frozenset(["the"])).collect()} == {("wombot", "wombat")}
+
+
 def test_labels_side_by_side_are_labels_one_by_one():
     model, rng = scanfix.Model(), random.Random(2)
     pages = [scanfix.np.array([rng.randrange(scanfix.PLACES * scanfix.KINDS * 2) for _ in range(rng.randrange(1, 40))]) for _ in range(50)]
