@@ -1,15 +1,21 @@
 """Held-out items that leaked into a corpus: q-gram lemma filter and banded alignment.
 
 Texts are compared as streams of letters and digits (NFKC, lower case; markup,
-punctuation, blanks and line breaks fall away). All q-grams of the items stand
-in one sorted table, which every task gets; items beyond ``MAX_ITEM_CHARS``
-letters are worked off in several blocks of items, each with its own table.
+punctuation, blanks and line breaks fall away). All q-grams of a block of items
+stand in sorted tables, which every task gets; items are worked off in blocks of
+about ``MAX_ITEM_CHARS`` letters, of which the driver holds one at a time.
 A document's q-grams are looked up at once with array operations; the hits are
 counted by item and by diagonal band (bands overlap by half, so that every
 passage lies wholly within one). By the q-gram lemma a passage of ``m`` letters
 with at most ``k`` edits keeps ``m + 1 - q * (k + 1)`` of its q-grams within a
 band of ``k`` diagonals; bands with fewer hits are dropped, the rest is aligned
-within the band, and the exact rule is tested on the alignment's runs.
+within the band. A document is reported if the alignment holds the least passage
+of an item with at most ``k`` edits; ``exact`` tells whether it also does so
+without any, word for word.
+
+The length of q-grams goes by the least passage of an item, in classes, so that a
+short item doesn't weaken the filter of the others; items of fewer than
+``SHORT`` letters are looked up whole and without edits.
 
 Cases: null, empty and blank texts and items match nothing; an item shorter
 than the least run counts when it occurs whole; copies of a text each get their
@@ -30,11 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioforge.session import cut
+
 Q = 12
 EDITS = 1
 MIN_WORDS = 12
 MIN_LETTERS = 20
 MAX_ITEM_CHARS = 4_000_000
+SHORT = 6
 _NOT_WORD = re.compile(r"[\W_]+")
 _TAG = re.compile(r"</?[A-Za-z][^<>]{0,200}>")
 _ENTITY = re.compile(r"&(?:#\d{1,7}|#x[0-9a-fA-F]{1,6}|[A-Za-z]{2,10});")
@@ -140,9 +149,8 @@ class Index:
     BITS = 22
 
     def __init__(self, items: list[Item], q: int, edits: int) -> None:
-        self.items, self.edits = items, edits
+        self.items, self.edits, self.q = items, edits, q
         least = min((i.least for i in items), default=q)
-        self.q = max(2, min(q, least // (edits + 1) if least < q * (edits + 1) else q))
         keys = [grams(codes(i.letters), self.q) for i in items]
         self.keys = np.concatenate(keys) if keys else np.empty(0, np.uint64)
         order = np.argsort(self.keys, kind="stable")
@@ -237,6 +245,19 @@ def align(letters: str, item: str, low: int, width: int, first: int, last: int)
     return edits, runs
 
 
+def stretches(runs: list[tuple[int, int, int]], edits: int) -> Iterator[tuple[int, int, int]]:
+    """(first and last place in the item, edits) of runs of one alignment, each joined with as many of the next as the budget allows."""
+    runs = sorted(runs)
+    for i, (t, j, n) in enumerate(runs):
+        end_t, end_j, cost = t + n, j + n, 0
+        for t2, j2, n2 in runs[i + 1 :]:
+            gap = max(t2 - end_t, j2 - end_j)
+            if t2 < end_t or j2 < end_j or cost + gap > edits:
+                break
+            end_t, end_j, cost = t2 + n2, j2 + n2, cost + gap
+        yield j, end_j, cost
+
+
 def _grow(letters: str, item: str, run: tuple[int, int, int]) -> tuple[int, int, int]:
     t, j, n = run
     while t and j and letters[t - 1] == item[j - 1]:
@@ -268,14 +289,22 @@ class Borders:
 
 
 def indexes(items: list[Item], q: int = Q, edits: int = EDITS) -> list[Index]:
-    """Tables of items in words and of items in Chinese apart: their least passages differ, and so does the best ``q``."""
-    return [Index(part, size, edits) for part, size in (([i for i in items if not i.cjk], q), ([i for i in items if i.cjk], min(q, 6))) if part]
+    """Tables of items by script and by the length of q-gram that suits their least passage."""
+    classes: dict[tuple[bool, int, int], list[Item]] = {}
+    for i in items:
+        if i.least < SHORT:
+            key = (i.cjk, i.least, 0)
+        else:
+            top, size = (min(q, 6) if i.cjk else q), i.least // (edits + 1)
+            key = (i.cjk, next((x for x in (top, 6, 3) if x <= min(size, top)), 2), edits)
+        classes.setdefault(key, []).append(i)
+    return [Index(part, size, k) for (_, size, k), part in classes.items()]
 
 
-def leaks(text: str, tables: list[Index], min_words: int = MIN_WORDS) -> dict[int, tuple[int, int]]:
-    """Item -> (letters of its longest exact run, fewest edits of a region) for every item that leaked into a text."""
+def leaks(text: str, tables: list[Index], min_words: int = MIN_WORDS) -> dict[int, tuple[int, int, bool]]:
+    """Item -> (letters of its longest passage, its edits, whether exact) for every item that leaked into a text."""
     code = codes(text)
-    found: dict[int, tuple[int, int]] = {}
+    found: dict[int, tuple[int, int, bool]] = {}
     seen: set[tuple] = set()
     borders: Borders | None = None
     letters = ""
@@ -286,26 +315,35 @@ def leaks(text: str, tables: list[Index], min_words: int = MIN_WORDS) -> dict[in
         if key in seen:
             continue
         seen.add(key)
-        edits, runs = align(letters, item.letters, low, width, first, last)
-        runs = {_grow(letters, item.letters, r) for r in runs if r[2] >= min(index.q, item.least)}
+        more = index.q + index.edits  # within the item the passage may go on where an edit took the q-grams
+        start = min(first, max(0, first - more, low + width))
+        end = max(last, min(len(letters), last + more, low + len(item.letters)))
+        _, aligned = align(letters, item.letters, low, width, start, end)
+        runs = {_grow(letters, item.letters, r) for r in aligned if r[2] >= min(index.q, item.least)}
         runs |= {_grow(letters, item.letters, r) for r in _diagonal_runs(letters, item.letters, low, width, first, last, item.least)}
-        best = 0
+        best: tuple[bool, int, int] | None = None  # (exact, letters, -edits)
+        need = min(min_words, len(item.starts) - 1)
         for t, j, n in runs:
             if n < item.least:
                 continue
             if item.cjk:
-                best = max(best, n)
+                best = max(best or (True, n, 0), (True, n, 0))
                 continue
             borders = borders or Borders(text)
             inside = [s for s in item.starts if j <= s <= j + n and t + s - j in borders.places]
-            need = min(min_words, len(item.starts) - 1)
             # consecutive word borders of the item that are borders of the text as well
             places = [item.starts.index(s) for s in inside]
             if places and places[-1] - places[0] >= need:
-                best = max(best, inside[-1] - inside[0])
+                best = max(best or (True, 0, 0), (True, inside[-1] - inside[0], 0))
+        if not best and index.edits:
+            for j, stop, cost in stretches(aligned, index.edits):
+                inside = [s for s in item.starts if j <= s <= stop]
+                if stop - j >= item.least and (item.cjk or len(inside) > need):
+                    best = max(best or (False, 0, 0), (False, stop - j, -cost))
         if best:
             old = found.get(item.number)
-            found[item.number] = (max(best, old[0]), min(edits, old[1])) if old else (best, edits)
+            now = (best[1], -best[2], best[0])
+            found[item.number] = max(old, now, key=lambda x: (x[2], x[0], -x[1])) if old else now
     return found
 
 
@@ -321,24 +359,20 @@ def find_leaks(
     q: int = Q,
     edits: int = EDITS,
 ) -> DataFrame:
-    """(key, item_id, run_letters, edits) for every document of ``corpus`` that holds an item or enough of it.
+    """(key, item_id, run_letters, edits, exact) for every document of ``corpus`` that holds an item or enough of it.
 
-    The items come to the driver in blocks of at most ``MAX_ITEM_CHARS``
-    letters; each block's table goes to the tasks, so what is broadcast is
-    bounded whatever the number of items. The corpus isn't shuffled.
+    The corpus isn't shuffled; it is read once for every block of items. With
+    several blocks each one's rows are written before the next block is fetched, so
+    the driver and a broadcast hold one block, whatever the number of items.
     """
     spark = corpus.sparkSession
     kind, item_kind = corpus.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
-    blocks: list[list[tuple]] = [[]]
-    size = 0
-    for row in items.select(item_key, item_text).where(F.col(item_text).isNotNull()).dropDuplicates().toLocalIterator():
-        if size + len(row[1]) > MAX_ITEM_CHARS and blocks[-1]:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((row[0], row[1]))
-        size += len(row[1])
+    given_items = items.select(F.col(item_key).alias("k"), F.col(item_text).alias("t")).where("k is not null and t is not null").distinct()
+    letters = given_items.agg(F.sum(F.length("t"))).first()[0] or 0
+    blocks = 1 if letters <= MAX_ITEM_CHARS else -(-2 * letters // MAX_ITEM_CHARS)
     source = corpus.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t is not null")
-    schema = f"k {kind}, item {item_kind}, run_letters int, edits int"
+    schema = f"k {kind}, item {item_kind}, run_letters int, edits int, exact boolean"
+    types = [pa.int32(), pa.int32(), pa.bool_()]
 
     def search(block: list[tuple]) -> DataFrame:
         given = spark.sparkContext.broadcast(block)
@@ -348,19 +382,18 @@ def find_leaks(
             made = [Item.of(n, t, min_words, min_letters) for n, (_, t) in enumerate(given.value)]
             tables = indexes([i for i in made if i], q, edits)
             for batch in batches:
-                out = [
-                    (k, keys[n], best, cost)
-                    for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                    for n, (best, cost) in leaks(t, tables, min_words).items()
-                ]
+                out = [(k, keys[n], *x) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for n, x in leaks(t, tables, min_words).items()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([o[0] for o in out], batch.schema.field(0).type), pa.array([o[1] for o in out]) if out else pa.nulls(0, pa.int64()), pa.array([o[2] for o in out], pa.int32()), pa.array([o[3] for o in out], pa.int32())],
-                    names=["k", "item", "run_letters", "edits"],
+                    [pa.array([o[0] for o in out], batch.schema.field(0).type), pa.array([o[1] for o in out]) if out else pa.nulls(0, pa.int64()), *[pa.array([o[i + 2] for o in out], x) for i, x in enumerate(types)]],
+                    names=["k", "item", "run_letters", "edits", "exact"],
                 )
 
         return source.mapInArrow(run, schema)
 
-    result = search(blocks[0])
-    for block in blocks[1:]:
-        result = result.unionByName(search(block))
+    fetch = lambda b: [(r.k, r.t) for r in given_items.where(F.pmod(F.xxhash64("k", "t"), F.lit(blocks)) == b).collect()]
+    result = search(fetch(0))
+    if blocks > 1:
+        result = cut(result)
+        for b in range(1, blocks):
+            result = result.unionByName(cut(search(fetch(b))))
     return result.withColumnRenamed("k", key).withColumnRenamed("item", "item_id" if item_key == key else item_key)
