@@ -11,34 +11,34 @@ LIMIT = 1000
 
 def _series(prefix: Column, a: Column, b: Column, suffix: Column, width: Column, both_ways: bool) -> Column:
     low, high = a.try_cast("bigint"), b.try_cast("bigint")
-    ok = (F.abs(high - low) <= LIMIT) & ((low != high) if both_ways else (low < high))
+    ok = (F.abs(high - low) <= LIMIT) & (F.lit(both_ways) | (low <= high))
     step = F.when(high < low, -1).otherwise(1).cast("bigint")
     pad = lambda n: F.when(F.length(n.cast("string")) >= width, n.cast("string")).otherwise(F.lpad(n.cast("string"), width, F.lit("0")))
     return F.when(ok, F.transform(F.sequence(low, high, step), lambda n: F.concat(prefix, pad(n), suffix)))
 
 
-def _width(a: Column) -> Column:
-    return F.when(a.startswith("0"), F.length(a)).otherwise(F.lit(1))
+def _width(a: Column, b: Column, zero: str = "^0") -> Column:
+    return F.when(a.rlike(zero) | b.rlike(zero), F.greatest(F.length(a), F.length(b))).otherwise(F.lit(1))
 
 
 def expand_numbers(c: Column) -> Column:
-    """``01-03`` as its numbers; null if the text is no ascending range or its ends are more than ``LIMIT`` apart."""
+    """``007-12`` as its numbers; null if the text is no ascending range or its ends are more than ``LIMIT`` apart."""
     a, b = F.regexp_extract(c, r"^\s*(\d+)\s*-\s*(\d+)\s*$", 1), F.regexp_extract(c, r"^\s*(\d+)\s*-\s*(\d+)\s*$", 2)
-    return F.when(a != "", _series(F.lit(""), a, b, F.lit(""), _width(a), False))
+    return F.when(a != "", _series(F.lit(""), a, b, F.lit(""), _width(a, b), False))
 
 
 def expand_lettered(c: Column) -> Column:
-    """``A1-A5`` with the same letters on both sides, in any case."""
-    p = r"^\s*([A-Za-z]+)(\d+)\s*-\s*([A-Za-z]+)(\d+)\s*$"
+    """``D2-D9`` with the same letters on both sides, in any case."""
+    p = r"^\s*([A-Za-z]+)\s*(\d+)\s*-\s*([A-Za-z]+)\s*(\d+)\s*$"
     part = lambda i: F.regexp_extract(c, p, i)
     return F.when((part(2) != "") & (F.upper(part(1)) == F.upper(part(3))), _series(part(1), part(2), part(4), F.lit(""), F.lit(1), False))
 
 
 def expand_bracketed(c: Column) -> Column:
-    """``L[7:12]`` and ``LED[4:0]_3``, either way; null unless there is exactly one bracket range."""
+    """``Q[3:8]`` and ``BUS[9:2]_X``, either way, a lone 0 at an end being no leading zero; null unless there is exactly one bracket range."""
     p = r"^([^\[\]]*)\[\s*(\d+)\s*:\s*(\d+)\s*\]([^\[\]]*)$"
     part = lambda i: F.regexp_extract(c, p, i)
-    return F.when(part(2) != "", _series(part(1), part(2), part(3), part(4), _width(part(2)), True))
+    return F.when(part(2) != "", _series(part(1), part(2), part(3), part(4), _width(part(2), part(3), "^0[0-9]"), True))
 
 
 def expand_any(c: Column) -> Column:

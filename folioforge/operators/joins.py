@@ -86,31 +86,39 @@ def similarity(a: str, b: str) -> float:
     return SequenceMatcher(None, a, b, autojunk=False).ratio() if a or b else 0.0
 
 
-def align(left: list[str], right: list[str], direct: float = 0.72, group: float = 0.68, margin: float = 0.12, most: int = 4) -> list[int]:
-    """Place in ``left`` for every item of ``right``, never going back.
+def align(left: list[str], right: list[str], most: int = 4, cost: float = 0.1) -> list[int]:
+    """Place in ``left`` for every item of ``right``, never going back; -1 if ``left`` is empty.
 
-    Equal counts are paired. Else an item is taken directly, or as part of a
-    split or a merge of up to ``most`` items if that is clearly the better
-    reading; what is left inherits the last place.
+    The alignment of the greatest total similarity, found by dynamic programming
+    over prefixes of both lists. A step takes one item of each side, or one of one
+    side with up to ``most`` of the other (split or merged items, ``cost`` for each
+    more), or passes over an item; items of ``right`` passed over get the place before.
     """
-    if len(left) == len(right):
-        return list(range(len(right)))
-    out: list[int] = []
-    i = j = 0
-    while j < len(right) and i < len(left):
-        own = similarity(left[i], right[j])
-        split = max(((similarity(left[i], "".join(right[j : j + n])), n) for n in range(2, most + 1) if j + n <= len(right)), default=(0.0, 0))
-        merge = max(((similarity("".join(left[i : i + n]), right[j]), n) for n in range(2, most + 1) if i + n <= len(left)), default=(0.0, 0))
-        if own < direct and split[0] >= group and split[0] >= own + margin and split[0] >= merge[0]:
-            out += [i] * split[1]
-            i, j = i + 1, j + split[1]
-        elif own < direct and merge[0] >= group and merge[0] >= own + margin:
-            out.append(i)
-            i, j = i + merge[1], j + 1
-        else:
-            out.append(i)
-            i, j = i + 1, j + 1
-    return out + [max(len(left) - 1, -1)] * (len(right) - len(out))
+    n, m = len(left), len(right)
+    steps = [(1, 1), *((1, k) for k in range(2, most + 1)), *((k, 1) for k in range(2, most + 1)), (1, 0), (0, 1)]
+    best = [[(0.0, 0, 0)] * (m + 1) for _ in range(n + 1)]
+    for i in range(n + 1):
+        for j in range(m + 1):
+            reached = []
+            for order, (a, b) in enumerate(steps):
+                if a > i or b > j:
+                    continue
+                gain = (similarity("".join(left[i - a : i]), "".join(right[j - b : j])) - cost * (a + b - 2)) * b if a and b else 0.0
+                reached.append((best[i - a][j - b][0] + gain, -order, a, b))
+            if reached:
+                top = max(reached)
+                best[i][j] = (top[0], top[2], top[3])
+    out = [-1] * m
+    i, j = n, m
+    while i or j:
+        _, a, b = best[i][j]
+        if a and b:
+            out[j - b : j] = [i - a] * b
+        i, j = i - a, j - b
+    for j in range(m):
+        if out[j] < 0 and n:
+            out[j] = out[j - 1] if j else 0
+    return out
 
 
 def align_sequences(left: DataFrame, right: DataFrame, by: str, order: str, text: str, value: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.functions import text as tx
+from folioforge.operators import special as sp
 
 #: What a header means, in the order in which it is tried, with the trust in it.
 HEADER_RULES: list[tuple[str, str | None, int]] = [
@@ -27,6 +28,11 @@ DESCRIPTION = "description|function|描述|说明"
 #: The words of signal types.
 TYPES = ("i", "o", "i/o", "io", "p", "g", "a", "d", "power", "ground", "input", "output", "pwr", "gnd", "nc", "—", "-")
 FIRST_ROWS = 12
+#: Titles of coordinate matrices, and headers that no such matrix has.
+MATRIX_TITLES = "pin configuration|pinout|pin map|pin assignment"
+MATRIX_NOT = "pin no|pin number|ball number|terminal no|signal name"
+#: The columns of an ordering table.
+ORDERING = ("orderable device", "package qty", "package type", "package drawing", "eco plan", "lead finish", "msl peak temp")
 
 
 def role_form(c: Column) -> Column:
@@ -77,18 +83,20 @@ def single_value_row(row: Column) -> Column:
 
 
 def is_matrix(grid: Column, title: Column) -> Column:
-    """A coordinate matrix: numbers in the header, single letters down the first column."""
-    numbers = F.size(F.filter(grid[0], lambda c: c.rlike(r"^\d{1,2}$")))
-    letters = F.size(F.filter(grid, lambda r: F.coalesce(r[0].rlike("^[A-Z]{1,2}$"), F.lit(False))))
-    signal = F.coalesce(F.lower(title).rlike("pinout|pin map|ball map|top view|bottom view"), F.lit(False))
-    return F.when(signal, (numbers >= 2) & (letters >= 2)).otherwise((numbers >= 4) & (letters >= 3))
+    """A coordinate matrix: numbers in the header, single letters down the first column, and no header that names a number."""
+    head = F.transform(F.coalesce(F.get(grid, F.lit(0)), F.array().cast("array<string>")), tx.header_form)
+    numbers = F.size(F.filter(head, lambda c: c.rlike(r"^\d{1,3}$")))
+    letters = F.size(F.filter(F.slice(grid, 2, FIRST_ROWS - 1), lambda r: F.coalesce(tx.header_form(F.get(r, F.lit(0))).rlike("^[a-z]$"), F.lit(False))))
+    named = F.exists(head, lambda c: c.rlike(MATRIX_NOT))
+    signal = F.coalesce(tx.header_form(title).rlike(MATRIX_TITLES), F.lit(False))
+    return (F.size(grid) > 2) & ((signal & (numbers >= 2) & (letters >= 2)) | (~named & (numbers >= 4) & (letters >= 3)))
 
 
 def is_ordering(header: Column) -> Column:
-    """An ordering table: names the orderable device and two more of its usual columns."""
-    joined = F.lower(F.array_join(header, " | "))
-    hits = [joined.contains(w).cast("int") for w in ("status", "package type", "pins", "package qty", "eco plan", "op temp", "marking")]
-    return joined.contains("orderable device") & (sum(hits, F.lit(0)) >= 2)
+    """An ordering table: names the orderable device and another of its usual columns."""
+    joined = tx.header_form(F.array_join(header, " "))
+    hits = [joined.contains(w).cast("int") for w in ORDERING]
+    return F.coalesce(joined.contains(ORDERING[0]) & (sum(hits, F.lit(0)) >= 2), F.lit(False))
 
 
 def repeats_blocks(header: Column) -> Column:
@@ -114,12 +122,13 @@ def decide(tables: DataFrame, grid: str = "grid", title: str = "title") -> DataF
     g = F.col(grid)
     t = tables.withColumn("_best", header_row(g)).withColumn("header_idx", -F.col("_best")["minus"]).withColumn("header", F.get(g, F.col("header_idx"))).withColumn("_fields", column_fields(F.col("header")))
     t = t.withColumns({f"{name}_col": field_index(F.col("_fields"), name) for name in ("pin_no", "pin_name", "type", "description")})
+    special = sp.special_kind(F.col(title), F.col("header"), F.slice(g, F.col("header_idx") + 2, F.greatest(F.size(g), F.lit(1))))
     reason = (
         F.when(g.isNull() | (F.size(g) < 2), "too_few_rows")
         .when(is_matrix(g, F.col(title)), "pinout_matrix")
         .when(is_ordering(F.col("header")), "ordering_table")
         .when(repeats_blocks(F.col("header")), "repeated_horizontal_blocks")
-        .when(F.coalesce(F.lower(title).rlike("unused pins|connection of unused"), F.lit(False)), "unused_pins")
+        .when(special.isin("unused_pins", "interface_modes", "control_word"), special)
         .when(F.coalesce(F.col("_best")["score"], F.lit(0)) < 4, "no_header")
         .when(F.col("pin_no_col").isNull(), "semantic_missing_pin_no_column")
     )

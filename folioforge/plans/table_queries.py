@@ -8,18 +8,19 @@ from pyspark.sql import functions as F
 from folioforge.functions import text as tx
 from folioforge.operators import grid as gr
 from folioforge.operators import records as rec
+from folioforge.operators import special as sp
 from folioforge.operators import tables as tb
 from folioforge.plans.registry import Registry
 
 R = Registry()
 _CELL = "trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(c, '<br\\s*/?>', ' ', 'gi'), '<[^>]+>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&nbsp;', ' '), '&amp;', '&'), '\\s+', ' ', 'g'))"
 _ROWS = "list_transform(regexp_extract_all(html, '(?is)<tr[^>]*>(.*?)</tr>', 1), lambda r: list_transform(regexp_extract_all(r, '(?is)<t[dh][^>]*>(.*?)</t[dh]>', 1), lambda c: " + _CELL + "))"
-_GRID = f"SELECT table_id, loaded_at, document_name, page_idx, title, {_ROWS} AS g FROM table_candidates WHERE NOT regexp_matches(html, '(?i)(row|col)span\\s*=')"
+_GRID = f"SELECT table_id, loaded_at, document_name, page_idx, title, {_ROWS} AS g, html FROM table_candidates WHERE html IS NOT NULL"
 
 
 def _flat(tables: DataFrame) -> DataFrame:
-    """Tables without spans, with their grid."""
-    return tables.where(~gr.has_spans(F.col("html"))).withColumn("grid", gr.rough_grid(F.col("html")))
+    """All tables with their rough grid, in which cells stand once, whatever they span."""
+    return tables.where("html is not null").select("*", F.explode(F.array(gr.rough_grid(F.col("html")))).alias("grid"))
 
 
 def _whole(tables: DataFrame) -> DataFrame:
@@ -31,7 +32,7 @@ def _whole(tables: DataFrame) -> DataFrame:
 SELECT table_id, loaded_at, (row_idx - 1)::INT AS row_idx, (col_idx - 1)::INT AS col_idx, row[col_idx] AS text FROM (
  SELECT *, unnest(range(1, len(row) + 1)) AS col_idx FROM (SELECT table_id, loaded_at, row_idx, g[row_idx] AS row FROM (SELECT *, unnest(range(1, len(g) + 1)) AS row_idx FROM ({_GRID}))))""")
 def rough_grid(tables: DataFrame) -> DataFrame:
-    """Cells of tables without spans, in long form."""
+    """Cells of all tables as they stand in the rows, in long form."""
     rows = _flat(tables).select("table_id", "loaded_at", F.posexplode("grid").alias("row_idx", "row"))
     return rows.select("table_id", "loaded_at", "row_idx", F.posexplode("row").alias("col_idx", "text"))
 
@@ -275,3 +276,100 @@ def confusion_columns(pins: DataFrame) -> DataFrame:
     t = F.trim("type")
     share = F.count_if(F.length(t) == 1) / F.count("*")
     return pins.where("coalesce(trim(type), '') <> ''").groupBy("document_name", "pkg").agg(((share >= 0.6) & (F.count_distinct(F.upper(t)) <= 6)).alias("confusable"))
+
+
+# ---- rules on titles and headers, over the rough grid of every table
+
+_FORM = _H.replace("regexp_replace({}, '\\(\\s*\\d+(\\s*,\\s*\\d+)*\\s*\\)', '', 'g')", "{}")
+_LOW = "lower(trim(regexp_replace(coalesce({}, ''), '\\s+', ' ', 'g')))"
+_HEAD = _FORM.format("array_to_string(g[1], ' ')")
+_TITLE = _FORM.format("coalesce(title, '')")
+
+
+def _any(column: str, words: tuple[str, ...]) -> str:
+    return "(" + " OR ".join(f"contains({column}, '{w}')" for w in words) + ")"
+
+
+_ORDER = f"(contains(h, 'orderable device') AND {' + '.join(f'contains(h, {w!r})::INT' for w in tb.ORDERING)} >= 2)"
+
+
+@R.add("flt04_may_hold_pins", "table_candidates", sql=f"""
+SELECT table_id, loaded_at, NOT {_ORDER} AND NOT {_any('h', sp.NOT_PINS)} AND ({_any('h', sp.PIN_WORDS)} OR {_any('t', sp.PIN_TITLES)} OR regexp_matches(b, '{sp.BALL_CODE}')) AS candidate
+FROM (SELECT table_id, loaded_at, coalesce({_HEAD}, '') AS h, {_TITLE} AS t, array_to_string(list_transform(g[1:8], lambda r: array_to_string(r, ' ')), ' ') AS b FROM ({_GRID}))""")
+def may_hold_pins(tables: DataFrame) -> DataFrame:
+    """Which tables are worth a look."""
+    head = F.get("grid", F.lit(0))
+    return _flat(tables).select("table_id", "loaded_at", F.coalesce(sp.may_hold_pins(F.col("title"), F.coalesce(head, F.array().cast("array<string>")), F.col("grid"), tb.is_ordering(head)), F.lit(False)).alias("candidate"))
+
+
+@R.add("flt05_maps_functions", "table_candidates", sql=f"""
+SELECT table_id, loaded_at, NOT {_any('h', sp.PHYSICAL)} AND (regexp_matches(t, '{sp.PORT_TITLE}') OR {_any("h || ' ' || t", sp.MUX_WORDS)}) AS mapping FROM (SELECT table_id, loaded_at, coalesce({_HEAD}, '') AS h, {_TITLE} AS t FROM ({_GRID}))""")
+def maps_functions(tables: DataFrame) -> DataFrame:
+    """Which tables tell the functions of ports only."""
+    return _flat(tables).select("table_id", "loaded_at", sp.maps_functions(F.col("title"), F.coalesce(F.get("grid", F.lit(0)), F.array().cast("array<string>"))).alias("mapping"))
+
+
+@R.add("flt07_special_kinds", "table_candidates")
+def special_kinds(tables: DataFrame) -> DataFrame:
+    """The special rule that each table fits, with the places of reserved rows."""
+    t = _whole(tables).withColumn("header", F.get("grid", F.lit(0))).withColumn("rows", F.slice("grid", 2, F.size("grid")))
+    args = F.col("title"), F.col("header"), F.col("rows")
+    return t.select("table_id", "loaded_at", sp.special_kind(*args).alias("kind"), sp.reserved_rows(*args).alias("rows"))
+
+
+@R.add("flt14_wants_spans", "table_candidates", sql=f"""
+SELECT table_id, loaded_at, regexp_matches(html, '(?i)\\b(rowspan|colspan)\\s*=') AND regexp_matches(w, '\\b(pin|ball|terminal)\\b|引脚|端子|球') AND regexp_matches(w, '\\b(name|type|description|no|number)\\b|名称|类型|说明|描述|编号') AS wanted
+FROM (SELECT table_id, loaded_at, html, {_FORM.format("coalesce(title, '') || ' ' || coalesce(array_to_string(flatten(g[1:4]), ' '), '')")} AS w FROM ({_GRID}))""")
+def wants_spans(tables: DataFrame) -> DataFrame:
+    """Tables whose spans are worth writing out for a header of several rows."""
+    return _flat(tables).select("table_id", "loaded_at", sp.wants_spans(F.col("html"), F.col("title"), F.col("grid")).alias("wanted"))
+
+
+@R.add("flt31_continued", "table_candidates", sql=f"SELECT table_id, loaded_at, regexp_matches(lower(coalesce(title, '')), '(\\(续\\)|\\(续表\\)|\\(续上表\\)|\\(continued\\)|\\(cont\\.\\)|\\(cont[’'']d\\)|\\(…continued\\)|(^|[^\\p{{L}}])continued|续表)\\s*$|\\(continued\\)') AS continued FROM table_candidates")
+def continued(tables: DataFrame) -> DataFrame:
+    """Titles that say that their table goes on."""
+    return tables.select("table_id", "loaded_at", sp.is_continued(F.col("title")).alias("continued"))
+
+
+@R.add("flt33_page_noise", "spans", sql=f"SELECT span_id, loaded_at FROM spans WHERE regexp_matches({_LOW.format('content')}, '{sp.PAGE_NOISE}')")
+def page_noise(spans: DataFrame) -> DataFrame:
+    """Spans that are nothing but page furniture."""
+    return spans.where(sp.is_page_noise(F.col("content"))).select("span_id", "loaded_at")
+
+
+@R.add("prj15_header_hints", "table_candidates", sql=f"""
+SELECT table_id, loaded_at, (i - 1)::INT AS col_idx, trim(array_to_string(list_filter([c1, CASE WHEN c2 <> c1 THEN c2 END, CASE WHEN c3 NOT IN (c1, c2) THEN c3 END, CASE WHEN c4 NOT IN (c1, c2, c3) THEN c4 END], lambda x: x <> ''), ' ')) AS hint FROM (
+ SELECT table_id, loaded_at, i, coalesce(g[1][i], '') AS c1, coalesce(g[2][i], '') AS c2, coalesce(g[3][i], '') AS c3, coalesce(g[4][i], '') AS c4 FROM (SELECT *, unnest(range(1, list_max(list_transform(g[1:4], lambda r: len(r))) + 1)) AS i FROM ({_GRID}) WHERE len(g) > 0))""")
+def header_hints(tables: DataFrame) -> DataFrame:
+    """The texts of the first four rows per column, for finding catalogues."""
+    return _flat(tables).select("table_id", "loaded_at", F.posexplode(sp.header_hints(F.col("grid"))).alias("col_idx", "hint"))
+
+
+@R.add("prj14_header_paths", "table_candidates")
+def header_paths(tables: DataFrame) -> DataFrame:
+    """The path of header texts over each column, down to the best header row."""
+    t = _whole(tables).withColumn("last", -tb.header_row(F.col("grid"))["minus"])
+    return t.select("table_id", "loaded_at", F.posexplode(sp.paths_udf("grid", "last")).alias("col_idx", "path"))
+
+
+@R.add("agg11_type_columns", "table_candidates", sql=f"""
+WITH c AS (SELECT table_id, loaded_at, i, {_FORM.format("coalesce(g[1][i], '')")} AS h, list_filter(list_transform(g[2:31], lambda r: r[i]), lambda x: x IS NOT NULL)[1:20] AS v FROM (SELECT *, unnest(range(1, len(g[1]) + 1)) AS i FROM ({_GRID}) WHERE len(g) > 0)),
+s AS (SELECT table_id, loaded_at, i, CASE WHEN regexp_matches(h, '{sp.TYPE_TITLES}') THEN 20 ELSE 0 END + CASE WHEN h IN ('type', 'i o', 'io', 'i/o') THEN 10 ELSE 0 END - CASE WHEN regexp_matches(h, '{sp.TYPE_OTHERS}') THEN 15 ELSE 0 END
+ + 3 * len(list_filter(v, lambda x: lower(trim(x)) IN ({', '.join(f"'{t}'" for t in tb.TYPES)}))) AS score FROM c)
+SELECT table_id, loaded_at, max(score)::INT AS score, (min_by(i, -score * 1000 + i) - 1)::INT AS col_idx FROM s GROUP BY ALL""")
+def type_columns(tables: DataFrame) -> DataFrame:
+    """The column of each table that suits a pin's type best, the leftmost on ties."""
+    head = F.get("grid", F.lit(0))
+    values = lambda i: F.filter(F.transform(F.slice("grid", 2, 30), lambda r: F.get(r, i)), lambda x: x.isNotNull())
+    scored = F.transform(head, lambda h, i: F.struct(sp.type_score(h, F.lit(0), values(i), tb.is_type).alias("score"), (-i).alias("minus")))
+    best = _flat(tables).where(F.size(head) > 0).select("table_id", "loaded_at", F.array_max(scored).alias("best"))
+    return best.select("table_id", "loaded_at", F.col("best.score").cast("int").alias("score"), (-F.col("best.minus")).alias("col_idx"))
+
+
+@R.add("prj22_public_result", "pins", sql=f"""
+SELECT document_name, pkg, to_json(list(struct_pack("group" := g, pins := n) ORDER BY g))::VARCHAR AS groups FROM (
+ SELECT document_name, pkg, coalesce(group_name, '') AS g, count(*) FILTER (coalesce(trim(pin_no), '') <> '') AS n FROM {_PINS} GROUP BY ALL) WHERE n > 0 GROUP BY ALL""")
+def public_result(pins: DataFrame) -> DataFrame:
+    """Packages with the number of numbered pins of their groups; groups and packages without a pin fall away."""
+    numbered = pins.where("coalesce(trim(pin_no), '') <> ''").groupBy("document_name", "pkg", F.coalesce("group_name", F.lit("")).alias("group")).agg(F.count_distinct("pin_id").alias("pins"))
+    return numbered.groupBy("document_name", "pkg").agg(F.to_json(F.array_sort(F.collect_list(F.struct("group", "pins")))).alias("groups"))

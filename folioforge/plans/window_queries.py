@@ -221,12 +221,12 @@ def row_lookup(rows: DataFrame, tables: DataFrame) -> DataFrame:
     return rows.join(tables.groupBy("table_id").agg(F.min("title").alias("title")), "table_id", "left").select("row_id", "loaded_at", "title")
 
 
-@R.add("jon02_align_pages", "nation", "region", sql="SELECT n_regionkey, (row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1)::INT AS seq, n_nationkey + 1 AS page_no FROM nation")
+@R.add("jon02_align_pages", "nation", "region", sql="SELECT n_regionkey, seq, page_no FROM (SELECT n_regionkey, (row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1)::INT AS seq, n_nationkey + 1 AS page_no FROM nation) WHERE seq NOT IN (1, 3)")
 def align_pages(nation: DataFrame, region: DataFrame) -> DataFrame:
-    """Final tables aligned to source tables of the same document, which gives their pages."""
+    """A list aligned to a longer one of which it lacks the second and the fourth item, as final tables to source tables: the pages come from the texts."""
     w = Window.partitionBy("n_regionkey").orderBy("n_nationkey")
     src = nation.select("n_regionkey", (F.row_number().over(w) - 1).alias("seq"), F.col("n_name").alias("text"), (F.col("n_nationkey") + 1).alias("page_no"))
-    return jn.align_sequences(src, src.select("n_regionkey", "seq", F.lower("text").alias("text")), "n_regionkey", "seq", "text", "page_no")
+    return jn.align_sequences(src, src.where("seq not in (1, 3)").select("n_regionkey", "seq", "text"), "n_regionkey", "seq", "text", "page_no")
 
 
 @R.add("set01_union_by_source", "spans", "table_candidates", sql="SELECT document_name, min(p) AS source FROM (SELECT document_name, 1 AS p FROM spans WHERE type = 'table' UNION ALL SELECT document_name, 2 FROM table_candidates) GROUP BY 1")

@@ -15,6 +15,7 @@ def one(spark, expr, **values):
     ("cell", "want"),
     [
         ("1-5", "1 2 3 4 5"), ("1 - 5", "1 2 3 4 5"), ("1 -5", "1 2 3 4 5"), ("01-03", "01 02 03"), ("5-1", "5-1"), ("1-1002", "1-1002"), ("A1-C3", "A1-C3"), ("A1-A5", "A1 A2 A3 A4 A5"), ("L[7:12]", "L7 L8 L9 L10 L11 L12"),
+        ("5-5", "5"), ("1-03", "01 02 03"), ("1-1001", " ".join(map(str, range(1, 1002)))), ("A5-A5", "A5"), ("3000000000-3000000002", "3000000000 3000000001 3000000002"), ("99999999999999999999-99999999999999999999", "99999999999999999999-99999999999999999999"),
         ("N/A", "N/A"), ("A1, A2", "A1 A2"), ("", ""), (None, ""),
     ],
 )

@@ -70,7 +70,7 @@ def test_reasons(spark):
         spark,
         ("", table(["Pin No.", "Pin Name"])), ("", table(["", "1", "2", "3", "4"], ["A", "", "", "", ""], ["B", "", "", "", ""], ["C", "", "", "", ""])),
         ("", table(["Orderable Device", "Status", "Package Type"], ["x", "y", "z"])), ("", table(["No.", "Pin Name", "Type", "No.", "Pin Name", "Type"], ["1", "A", "I", "2", "B", "I"])),
-        ("Connection of unused pins", table(["Pin No.", "Pin Name"], ["1", "A"])), ("", table(["Pin Name", "Type"], ["A", "I"])), ("", table(["Pin No.", "Pin Name"], ["1", "A"])), (None, None), ("", table(["x"], ["y"])),
+        ("Connections for unused pins", table(["Pin No.", "Pin Name"], ["1", "A"])), ("", table(["Pin Name", "Type"], ["A", "I"])), ("", table(["Pin No.", "Pin Name"], ["1", "A"])), (None, None), ("", table(["x"], ["y"])),
     )
     assert got == {0: "too_few_rows", 1: "pinout_matrix", 2: "ordering_table", 3: "repeated_horizontal_blocks", 4: "unused_pins", 5: "semantic_missing_pin_no_column", 6: None, 7: "too_few_rows", 8: "no_header"}
 
@@ -123,3 +123,61 @@ def test_whole_queries_cover_spanned_tables(spark):
 def test_a_row_span_reaches_as_far_as_the_table():
     html = f'<table><tr><td rowspan="1500">B</td><td>0</td></tr>{"".join(f"<tr><td>{i}</td></tr>" for i in range(1, 1500))}</table>'
     assert gr.spanned_grid(html) == [["B", str(i)] for i in range(1500)]
+
+
+def special_row(spark, title, header, rows):
+    from pyspark.sql import functions as F
+
+    from folioforge.operators import special as sp
+
+    df = spark.createDataFrame([(title, header, rows)], "title string, header array<string>, rows array<array<string>>")
+    args = F.col("title"), F.col("header"), F.col("rows")
+    return tuple(df.select(sp.special_kind(*args), sp.reserved_rows(*args)).first())
+
+
+def test_special_tables(spark):
+    modes = ["Pin No.", "MII MAC", "MII PHY", "", "RMII MAC", "RMII PHY", "RGMII"]
+    assert special_row(spark, "Connections for Unused Pins", ["Pin", "Name"], []) == ("unused_pins", None)
+    assert special_row(spark, None, modes, [["1"] * 6]) == ("interface_modes", None)
+    assert special_row(spark, None, [*modes, "Type"], [["1"] * 6]) == (None, None)
+    bits = ["BIT", "BIT NAME", "DESCRIPTION / FUNCTION", "PIN AFFECTED [1]"]
+    assert special_row(spark, "Table 7. Word 3", bits, [["", "x"]]) == ("control_word", None)
+    assert special_row(spark, "Table 7. Word 3", [*bits, "Pin No."], [["", "x"]]) == (None, None)
+    assert special_row(spark, "Table 7. Word 3", bits, [["", " "]]) == (None, None)
+    head = ["Balls", "Connection Requirements"]
+    rows = [["A1, B2", "Reserved. Must be left unconnected"], ["", ""], ["C3", "Ball does not exist on this package"], ["D4/D5", "NC"]]
+    assert special_row(spark, "Reserved Balls", head, rows) == ("reserved_pins", [0, 3])
+    assert special_row(spark, "Reserved Balls", head, [*rows, ["E5", "Tie to ground"]]) == (None, None)
+    assert special_row(spark, "Reserved Balls", [*head, "Ball Name"], rows) == (None, None)
+    assert special_row(spark, None, None, None) == (None, None)
+
+
+def test_header_paths_take_over_from_the_column_beside():
+    from folioforge.operators.special import paths
+
+    grid = [["Pin", "PIN", "", "Type"], ["Name", "RGE", "RGE", ""], ["A", "1", "2", "I"]]
+    assert paths(grid, 1) == [["Pin", "Name"], ["PIN", "RGE"], ["PIN", "RGE"], ["Type"]]
+    assert paths([["a", "", "b"], ["x", "x", "x"]], 1) == [["a", "x"], ["x"], ["b", "x"]]  # both sides, and they differ
+    assert paths([], 0) == [] and paths([["Pin", "pin"], ["pin", None]], 1) == [["Pin"], ["pin"]]
+
+
+def test_matrix_and_ordering_tables(spark):
+    from pyspark.sql import functions as F
+
+    from folioforge.operators import tables as tb
+
+    grid = [["", "1", "2", "3", "4"], *[[x, "p", "q", "r", "s"] for x in "ABC"]]
+    named = [["Pin No.", "1", "2", "3", "4"], *grid[1:]]
+    df = spark.createDataFrame([(1, grid, None), (2, named, None), (3, named, "Pin Assignment"), (4, None, None), (5, [["Orderable Device", "Eco Plan"]], None), (6, [["Orderable Device", "Status"]], None)], "k int, g array<array<string>>, t string")
+    got = {r.k: (r.m, r.o) for r in df.select("k", F.coalesce(tb.is_matrix(F.col("g"), F.col("t")), F.lit(False)).alias("m"), tb.is_ordering(F.get("g", F.lit(0))).alias("o")).collect()}
+    assert got == {1: (True, False), 2: (False, False), 3: (True, False), 4: (False, False), 5: (False, True), 6: (False, False)}
+
+
+def test_continued_titles(spark):
+    from pyspark.sql import functions as F
+
+    from folioforge.operators.special import is_continued
+
+    cases = {"Table 2 (continued)": True, "Table 2（续）": True, "续表": True, "Discontinued": False, "Pins continued": True, "(continued) Pins": True, "continued pins": False, "": False, None: False}
+    rows = spark.createDataFrame([(k,) for k in cases], "c string").select("c", is_continued(F.col("c")).alias("x")).collect()
+    assert {r.c: r.x for r in rows} == cases
