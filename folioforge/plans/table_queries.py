@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.functions import text as tx
+from folioforge.operators import blocks as bl
 from folioforge.operators import grid as gr
 from folioforge.operators import records as rec
 from folioforge.operators import special as sp
@@ -178,7 +179,13 @@ _PINS = "(SELECT * FROM pins QUALIFY row_number() OVER (PARTITION BY pin_id ORDE
 
 
 def _once(pins: DataFrame) -> DataFrame:
-    return pins.withColumn("n", F.row_number().over(Window.partitionBy("pin_id").orderBy("loaded_at"))).where("n = 1").drop("n")
+    rest = [c for c in pins.columns if c not in ("pin_id", "loaded_at")]
+    return pins.groupBy("pin_id").agg(F.min_by(F.struct("loaded_at", *rest), "loaded_at").alias("p")).select("pin_id", "p.*")
+
+
+def _tables_once(tables: DataFrame, *columns: str) -> DataFrame:
+    """Every table as it was delivered first, by one aggregation of the columns wanted."""
+    return tables.groupBy("table_id").agg(F.min_by(F.struct(*columns), "loaded_at").alias("t")).select("table_id", "t.*")
 
 
 @R.add("agg07_ordered_dedupe", "pins", sql=f"""
@@ -226,12 +233,15 @@ def nested_result(pins: DataFrame) -> DataFrame:
     return nested.select("pkg_key", F.to_json(slim).alias("result"))
 
 
-@R.add("stc14_extract_pins", "table_candidates")
-def extract_pins(tables: DataFrame) -> DataFrame:
-    """The flagship: pin records of all tables, deduplicated per document with merged descriptions."""
-    once = tables.withColumn("n", F.row_number().over(Window.partitionBy("table_id").orderBy("loaded_at"))).where("n = 1")
-    pins = rec.extract(once)
-    return rec.ordered_dedupe(pins, ["document_name", "pin_no", "pin_name"], ["table_id", "row_idx", "pin_seq"], "description")
+@R.add("stc14_extract_pins", "table_candidates", "package_assignments")
+def extract_pins(tables: DataFrame, assignments: DataFrame) -> DataFrame:
+    """The flagship: pin records of all tables with their package, deduplicated per document and package with merged descriptions.
+
+    The package is that of the table's only slot; a table with several slots or none has a null one.
+    """
+    once = _tables_once(tables, "document_name", "page_idx", "title", "html")
+    pins = rec.extract(once).join(bl.single_slots(assignments).select("table_id", "pkg"), "table_id", "left")
+    return rec.ordered_dedupe(pins, ["document_name", "pkg", "pin_no", "pin_name"], ["table_id", "row_idx", "pin_seq"], "description")
 
 
 @R.add("snk08_table_export", "table_candidates", sql="""
@@ -239,7 +249,7 @@ SELECT document_name, count(*) AS table_count, to_json(list(struct_pack(table_id
 FROM (SELECT * FROM table_candidates QUALIFY row_number() OVER (PARTITION BY table_id ORDER BY loaded_at) = 1) GROUP BY document_name""")
 def table_export(tables: DataFrame) -> DataFrame:
     """Every document's tables as one JSON list with page numbers from one."""
-    once = tables.withColumn("n", F.row_number().over(Window.partitionBy("table_id").orderBy("loaded_at"))).where("n = 1")
+    once = _tables_once(tables, "document_name", "page_idx", "title")
     item = F.struct("table_id", (F.col("page_idx") + 1).alias("page_no"), "title")
     return once.groupBy("document_name").agg(F.count("*").alias("table_count"), F.to_json(F.array_sort(F.collect_list(item)), {"ignoreNullFields": "false"}).alias("table_list"))
 

@@ -184,3 +184,23 @@ def test_every_table_is_split(spark):
     df = spark.createDataFrame([(1, None, merged), (2, None, f"<table>{head}{row}</table>"), (3, None, None)], "table_id bigint, loaded_at timestamp, html string")
     got = {(r.table_id, r.part, r.html) for r in tq.whole_split_merged(df).collect()}
     assert got == {(k, i, h) for k, t in ((1, merged), (2, f"<table>{head}{row}</table>")) for i, h in enumerate(gr.split_merged(t))} and len(got) == 3
+
+
+def test_blocks_of_pages(spark):
+    from pyspark.sql import functions as F
+
+    from folioforge.operators import blocks as bl
+
+    texts = [(1, "a\n| H1 | H2 |\n|---|:-:|\n| 1 | x |\r\n| 2 |\nb\n| only |\n\n|N|\n|v|w|"), (2, None), (3, ""), (4, "| a | b")]
+    got = {(r.k, r.line_idx, r.col_idx, r.header): r.column_values for r in bl.pipe_tables(spark.createDataFrame(texts, "k int, t string"), "k", "t").collect()}
+    assert got == {(1, 1, 0, "H1"): ["1", "2"], (1, 1, 1, "H2"): ["x", ""], (1, 8, 0, "N"): ["v"]}
+    rows = [("d", 0, 1, "text", "Table 1. A"), ("d", 0, 2, "table", None), ("d", 0, 3, "text", "Figure 2 x"), ("d", 0, 4, "table", None), ("d", 0, 5, "table", None), (None, None, 1, "table", None)]
+    df = spark.createDataFrame(rows, "doc string, page int, seq int, kind string, text string")
+    found = bl.titles_since(df, ["doc", "page"], ["seq"], F.col("kind") == "table", {"title": bl.TABLE_TITLE, "figure": bl.FIGURE_TITLE}, "text").where("kind = 'table'")
+    assert sorted((r.doc or "", r.seq, r.title, r.figure) for r in found.collect()) == [("", 1, None, None), ("d", 2, "Table 1. A", None), ("d", 4, None, "Figure 2 x"), ("d", 5, None, None)]
+    lists = spark.createDataFrame([("d", i, k, t) for i, (k, t) in enumerate([("list", "a"), ("list", "b"), ("text", "c"), ("list", "d"), (None, "e"), (None, "f")])], "doc string, seq int, kind string, text string")
+    merged = bl.merge_adjacent(lists, ["doc"], ["seq"], "kind", "text", "seq").orderBy("run").collect()
+    assert [(r.run, r.kind, r.n, r.text) for r in merged] == [(0, "list", 2, "a\nb"), (1, "text", 1, "c"), (2, "list", 1, "d"), (3, None, 1, "e"), (4, None, 1, "f")]
+    slots = spark.createDataFrame([(1, 0, "A", 1, 1), (1, 0, "B", 2, 2), (2, 0, "A", 1, 3), (2, 1, "A", 1, 4), (3, 0, " ", 1, 5), (4, 0, None, 1, 6)], "table_id int, local_slot int, pkg string, assigned_at int, assignment_id int")
+    assert {tuple(r) for r in bl.single_slots(slots).collect()} == {(1, "B", "single_slot"), (2, None, "several_slots")}
+    assert bl.pipe_tables(spark.createDataFrame([], "k int, t string"), "k", "t").count() == 0
