@@ -9,13 +9,15 @@ parent and child tables are linked by ``(doc, parent) = (doc, node)``.
 
 Cases: a null, empty or cut-off text has no nodes; null elements keep their
 place (ordinals count them) but are nodes of kind ``null``; a missing optional
-field is a null column; repeated rows of one document key are shredded once.
+field is a null column; repeated rows of one document key are shredded once,
+and of different texts of one key the longest, then the one of the greatest hash,
+stands for it.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Collection, Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -23,14 +25,17 @@ from pyspark.sql import functions as F
 
 from folioforge.session import cut
 
-NODE_SCHEMA = "doc bigint, node int, parent int, label string, ordinal int, kind string, scalar string"
+NODE_SCHEMA = "doc bigint, version bigint, node int, parent int, label string, ordinal int, kind string, scalar string"
 _ARROW = pa.schema(
-    [("doc", pa.int64()), ("node", pa.int32()), ("parent", pa.int32()), ("label", pa.string()), ("ordinal", pa.int32()), ("kind", pa.string()), ("scalar", pa.string())]
+    [("doc", pa.int64()), ("version", pa.int64()), ("node", pa.int32()), ("parent", pa.int32()), ("label", pa.string()), ("ordinal", pa.int32()), ("kind", pa.string()), ("scalar", pa.string())]
 )
 #: Keys under which the page list may stand, and the arrays of blocks of a page (fixed values of the format).
 PAGE_KEYS = ("pdf_info", "pdf_info_list", "pages", "page_info_list")
 LAYERS = ("para_blocks", "preproc_blocks", "discarded_blocks", "blocks")
 ROOT = "$"
+#: The labels of the object nodes that the tables of a page tree are made of.
+NEEDED = {"pages": {ROOT, *PAGE_KEYS}, "blocks": {ROOT, *PAGE_KEYS, *LAYERS}, "children": {ROOT, *PAGE_KEYS, *LAYERS}, "lines": {"lines"}, "spans": {"spans"}}
+OWNERS = {"pages": (ROOT, *PAGE_KEYS), "blocks": LAYERS, "children": ("blocks",), "lines": ("lines",), "spans": ("spans",)}
 
 
 def _scalar_text(value: object) -> str | None:
@@ -53,63 +58,77 @@ def _parse(text: str | None):
         return None
 
 
-def walk(root: object, scalars: bool = True) -> Iterator[tuple[int, int, str, int, str, str | None]]:
-    """(node, parent, label, ordinal, kind, scalar) of every node, parents before children.
+def walk(root: object, scalars: bool | Mapping[str, Collection[str]] = True, objects: Collection[str] | None = None) -> Iterator[tuple[int, int, str, int, str, str | None]]:
+    """(node, parent, label, ordinal, kind, scalar) of the nodes, parents before children.
 
+    ``scalars`` limits scalar nodes to the keys given for the label of their owner,
+    ``objects`` the others to the labels given. The others have even numbers, which don't
+    depend on what is left out, so tables made apart still link to each other.
     An explicit stack keeps depth bounded by memory, not by recursion.
     """
-    number = 0
+    number, scalar = 0, 1
     stack: list[tuple[object, int, str, int]] = [(root, -1, ROOT, 0)]
     while stack:
         value, parent, label, ordinal = stack.pop()
+        shown = objects is None or label in objects
         if isinstance(value, dict):
-            me, number = number, number + 1
-            yield me, parent, label, ordinal, "object", None
+            me, number = number, number + 2
+            if shown:
+                yield me, parent, label, ordinal, "object", None
+            wanted = None if scalars is True else scalars.get(label, ()) if scalars else ()
             for key, child in value.items():
-                if isinstance(child, list):
-                    if child and not any(isinstance(x, (dict, list)) for x in child) and any(x is not None for x in child):
-                        if scalars:
-                            stack.append((json.dumps(child), me, key, -2))
-                        continue
-                    stack.extend((x, me, key, i) for i, x in enumerate(child))
-                elif isinstance(child, dict) or scalars:
+                if isinstance(child, dict):
                     stack.append((child, me, key, -1))
+                elif isinstance(child, list) and (any(isinstance(x, (dict, list)) for x in child) or all(x is None for x in child)):
+                    stack.extend((x, me, key, i) for i, x in enumerate(child))
+                elif wanted is None or key in wanted:
+                    values = isinstance(child, list)
+                    yield scalar, me, key, -1, "list" if values else "null" if child is None else "scalar", json.dumps(child) if values else _scalar_text(child)
+                    scalar += 2
         elif isinstance(value, list):
-            me, number = number, number + 1
-            yield me, parent, label, ordinal, "array", None
+            me, number = number, number + 2
+            if shown:
+                yield me, parent, label, ordinal, "array", None
             stack.extend((x, me, label, i) for i, x in enumerate(value))
-        elif scalars or value is None and ordinal >= 0:
-            me, number = number, number + 1
-            kind = "null" if value is None else "list" if ordinal == -2 else "scalar"
-            yield me, parent, label, max(ordinal, -1), kind, _scalar_text(value)
+        elif value is None:
+            me, number = number, number + 2
+            if shown:
+                yield me, parent, label, ordinal, "null", None
+        elif scalars is True:
+            yield scalar, parent, label, ordinal, "scalar", _scalar_text(value)
+            scalar += 2
 
 
-def shred(df: DataFrame, key: str, text: str, scalars: bool = True) -> DataFrame:
+def shred(df: DataFrame, key: str, text: str, scalars: bool | Mapping[str, Collection[str]] = True, objects: Collection[str] | None = None) -> DataFrame:
     """The edge table of ``df[text]``, hash-partitioned by document and cut from its lineage.
 
-    ``scalars=False`` keeps object nodes only, for queries that need no values.
+    ``scalars`` and ``objects`` limit it to the nodes that a query needs, as in ``walk``.
     A document's nodes stay in one partition, so every later join of levels
     runs without another exchange.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], [], []]
-            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            out: list[list] = [[] for _ in _ARROW]
+            for doc, version, body in zip(*(c.to_pylist() for c in batch.columns)):
                 root = _parse(body)
                 if not isinstance(root, (dict, list)) or doc is None:
                     continue
-                for row in walk(root, scalars):
+                for row in walk(root, scalars, objects):
                     out[0].append(doc)
-                    for column, x in zip(out[1:], row):
+                    out[1].append(version)
+                    for column, x in zip(out[2:], row):
                         column.append(x)
                 if len(out[0]) > 50_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(out, _ARROW)], schema=_ARROW)
-                    out = [[], [], [], [], [], [], []]
+                    out = [[] for _ in _ARROW]
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(out, _ARROW)], schema=_ARROW)
 
-    nodes = df.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("body")).mapInArrow(run, NODE_SCHEMA)
-    return cut(nodes.repartition("doc").dropDuplicates(["doc", "node"]), keep_partitioning=True)
+    rows = df.select(F.col(key).cast("bigint").alias("doc"), F.xxhash64(text).alias("version"), F.col(text).alias("body"))
+    nodes = rows.mapInArrow(run, NODE_SCHEMA).repartition("doc")
+    chosen = rows.groupBy("doc").agg(F.max(F.struct(F.length("body"), "version")).alias("x")).select("doc", F.col("x.version").alias("version"))
+    once = nodes.join(chosen, ["doc", "version"], "left_semi").drop("version").dropDuplicates(["doc", "node"])
+    return cut(once, keep_partitioning=True)
 
 
 def entity(nodes: DataFrame, label: str | Sequence[str], fields: Sequence[str] = ()) -> DataFrame:
@@ -142,7 +161,7 @@ def page_tables(nodes: DataFrame, fields: dict[str, Sequence[str]] | None = None
         (F.col("parent") == F.col("root")) & F.when(F.col("root_kind") == "array", F.col("label") == ROOT).otherwise(F.col("label") != ROOT) & (F.col("ordinal") >= 0)
     )
     pages = pages.drop("root", "root_kind")
-    held = entity(nodes, LAYERS, want.get("blocks", ())).where("ordinal >= 0")
+    held = entity(nodes, LAYERS, want.get("blocks", want.get("children", ()))).where("ordinal >= 0")
     owner = pages.select("doc", F.col("node").alias("parent"))
     blocks = held.join(owner, ["doc", "parent"], "left_semi")
     inner = held.where("label = 'blocks'").join(blocks.select("doc", F.col("node").alias("parent")), ["doc", "parent"], "left_semi")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.operators.packed import split_packed
-from folioforge.operators.shred import LAYERS, page_tables, shred, span_places
+from folioforge.operators.shred import LAYERS, NEEDED, OWNERS, page_tables, shred, span_places
 from folioforge.session import table
 
 FIELDS = {"pages": ("page_idx",), "blocks": ("type", "index", "level", "bbox"), "children": ("type", "index", "level", "bbox"), "lines": ("bbox",), "spans": ("type", "content", "score", "bbox")}
@@ -14,13 +14,14 @@ FIELDS = {"pages": ("page_idx",), "blocks": ("type", "index", "level", "bbox"),
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places of all span objects of the parsed page trees."""
-    return span_places(shred(table(spark, sf_dir, "parse_results"), "parse_id", "middle_json", scalars=False))
+    return span_places(shred(table(spark, sf_dir, "parse_results"), "parse_id", "middle_json", scalars=False, objects=set().union(*NEEDED.values())))
 
 
 def _entities(name: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        nodes = shred(table(spark, sf_dir, "parse_results"), "parse_id", "middle_json")
-        return page_tables(nodes, FIELDS)[name].withColumnRenamed("doc", "parse_id")
+        fields = FIELDS[name]
+        nodes = shred(table(spark, sf_dir, "parse_results"), "parse_id", "middle_json", scalars=dict.fromkeys(OWNERS[name], fields), objects=NEEDED[name])
+        return page_tables(nodes, {name: fields})[name].withColumnRenamed("doc", "parse_id")
 
     query.__doc__ = f"Flat table of {name}, with each row's parent node and its scalar fields."
     return query

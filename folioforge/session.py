@@ -36,7 +36,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _shared_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share, from ``spark.checkpoint.dir``; on one machine a temporary one where that is unset."""
     sc = spark.sparkContext
     known = sc._jsc.sc().getCheckpointDir()
@@ -60,7 +60,7 @@ def cut(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
     without an exchange.
     """
     spark = df.sparkSession
-    folder = _shared_folder(spark)
+    folder = shared_folder(spark)
     if keep_partitioning:
         return df.checkpoint()
     place = f"{folder}/cut-{uuid.uuid4().hex}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from typing import Any
 
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from folioforge.session import shared_folder
+
 
 def read_stream(spark: SparkSession, folder: str, pattern: str, like: DataFrame) -> DataFrame:
     """A stream over the Parquet files of a folder whose names match ``pattern``."""
@@ -50,10 +53,25 @@ def complete_documents(pages: DataFrame, doc: str = "document_name", page: str =
 
 
 def run_once(stream: DataFrame, name: str, mode: str = "complete") -> DataFrame:
-    """What a stream over the files that are there now gives, by one ``availableNow`` run into memory."""
-    query = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+    """What a stream over the files that are there now gives, by one ``availableNow`` run.
+
+    Every batch is written as a table to the shared folder; in ``complete`` mode the
+    last one holds the result. Nothing of it comes to the driver.
+    """
+    spark = stream.sparkSession
+    place = f"{shared_folder(spark)}/stream-{name}-{uuid.uuid4().hex}"
+    schema, last = stream.schema, []
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{place}/batch={number:09d}")
+        last.append(number)
+
+    query = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{place}-state").trigger(availableNow=True).start()
     query.awaitTermination()
-    return stream.sparkSession.table(name)
+    if not last:
+        return spark.createDataFrame([], schema)
+    kept = last[-1:] if mode == "complete" else last
+    return spark.read.schema(schema).parquet(*[f"{place}/batch={n:09d}" for n in sorted(set(kept))])
 
 
 def state_ttl(options: dict[str, Any], hours: int) -> dict[str, Any]:

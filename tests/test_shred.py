@@ -54,6 +54,24 @@ def test_entities_keep_links_and_scalars(spark):
     assert sorted((r.ordinal, r.content, r.score) for r in t["spans"].collect()) == [(0, "a", "0.5"), (1, None, None)]
 
 
+def test_one_text_stands_for_a_key(spark):
+    one, two = json.dumps({"pages": [{"blocks": [{"lines": [{"spans": [{}]}]}]}]}), json.dumps({"pages": [{"blocks": [{"lines": [{"spans": [{}, {}]}]}]}]})
+    rows = spark.createDataFrame([(1, one), (1, two), (1, two), (1, None), (2, one), (2, "")], "k bigint, t string")
+    assert sorted(tuple(r) for r in span_places(shred(rows, "k", "t", scalars=False)).collect()) == [(1, 0, "blocks", 0, -1, 0, 0), (1, 0, "blocks", 0, -1, 0, 1), (2, 0, "blocks", 0, -1, 0, 0)]
+
+
+def test_numbers_of_objects_do_not_depend_on_what_is_left_out():
+    from folioforge.operators.shred import walk
+
+    rng = random.Random(6)
+    for _ in range(60):
+        t = tree(rng)
+        whole = {r[:5] for r in walk(t) if r[0] % 2 == 0}
+        assert {r[:5] for r in walk(t, False)} == whole
+        assert {r[:5] for r in walk(t, {"spans": ["type"]}, {"spans"}) if r[0] % 2 == 0} == {r for r in whole if r[2] == "spans"}
+        assert all(r[2] == "type" for r in walk(t, {"spans": ["type"]}, {"spans"}) if r[0] % 2)
+
+
 def test_empty_table(spark):
     assert span_places(shred(spark.createDataFrame([], "k bigint, t string"), "k", "t", scalars=False)).count() == 0
 
