@@ -32,8 +32,14 @@ from folioforge.session import cut
 #: Letters of other scripts that print like a Latin letter.
 LOOK_ALIKES = dict(
     zip(
-        "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧνοАВЕКМНОРСТХЅІЈҮаеорсухѕіјһԁԛԝ",
-        "ABEZHIKMNOPTYXvoABEKMHOPCTXSIJYaeopcyxsijhdqw",
+        "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧνοАВЕКМНОРСТХЅІЈҮаеорсухѕіјһԁԛԝ"  # Greek and Cyrillic
+        "ՍՏՕհոսցօզյ"  # Armenian
+        "ᎠᎡᎢᎪᎫᎬᎳᎷᎻᎽᏀᏃᏆᏏᏔᏚᏞᏟᏢᏦᏩᏴ"  # Cherokee
+        "ɑɡⅼⅽⅾⅿ",  # letters of phonetics and numerals
+        "ABEZHIKMNOPTYXvoABEKMHOPCTXSIJYaeopcyxsijhdqw"
+        "USOhnugoqj"
+        "DRTAJEWMHYGZIbWSLCPKGB"
+        "aglcdm",
         strict=True,
     )
 )

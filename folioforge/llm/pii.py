@@ -330,10 +330,17 @@ def choose(every: list[dict]) -> list[dict]:
         if c["start"] >= end:
             kept.append(c)
             end = c["stop"]
-    free = sorted((c for c in every if c["bits"] is not None and not any(c["start"] < s["stop"] and s["start"] < c["stop"] for s in kept)), key=lambda c: (c["stop"], c["start"]))
+    stops = [s["stop"] for s in kept]
+
+    def apart(c: dict) -> bool:
+        next_ = bisect_right(stops, c["start"])  # the first sure one that ends behind the start
+        return next_ == len(kept) or kept[next_]["start"] >= c["stop"]
+
+    free = sorted((c for c in every if c["bits"] is not None and apart(c)), key=lambda c: (c["stop"], c["start"]))
+    ends = [c["stop"] for c in free]
     best: list[tuple[float, int]] = [(0.0, -1)]
     for i, c in enumerate(free):
-        before = next((j + 1 for j in range(i - 1, -1, -1) if free[j]["stop"] <= c["start"]), 0)
+        before = bisect_right(ends, c["start"], 0, i)
         with_it = best[before][0] + c["bits"]
         best.append((with_it, before) if with_it > best[i][0] else (best[i][0], -1))
     i = len(free)

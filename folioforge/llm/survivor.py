@@ -67,7 +67,7 @@ def members(df: DataFrame, sources: Sequence[str] = SOURCES, scope: Sequence[str
     rows = df.select(F.col(key).alias("id"), scope_key.alias("scope"), number_form(F.col("pin_no")).alias("no"), name_form(F.col("pin_name")).alias("name"), *best).where("id is not null").dropDuplicates(["id"])
     rows = cut(rows)
     full = rows.where("no is not null and name is not null").withColumn("pin_key", F.struct("no", "name"))
-    pins = full.groupBy("scope", "pin_key").agg(*[F.max(f"best_{a}").alias(f"best_{a}") for a in ATTRIBUTES]).select("scope", "pin_key")
+    pins = full.select("scope", "pin_key").distinct()
     part = rows.where("no is null or name is null")
 
     def attach(records: DataFrame, field: str) -> DataFrame:
