@@ -33,7 +33,7 @@ NUMBER_COLUMNS = ("balls", "ball numbers", "pins", "pin numbers", "terminals", "
 REQUIREMENT = r"connection requirement|连接要求"
 NAME_HEADERS = ("pin name", "ball name", "signal name", "terminal name", "引脚名称", "信号名称", "端子名称")
 RESERVED = r"\breserved\b|\bno[ -]?connect\b|\bn/?c\b|left unconnected|leave unconnected|must not be connected|shall not be connected|do not connect"
-ABSENT = r"not exist|not available|does not exist|not present|不存在"
+ABSENT = r"do not exist on the package|does not exist on the package|not exist on the package|not present on the package|not available on the package|no ball exists|no pin exists"
 PIN_LIST = r"^([A-Za-z]{1,3}\d{1,4}[A-Za-z]?|\d{1,4})([\s,，;/／、|]+([A-Za-z]{1,3}\d{1,4}[A-Za-z]?|\d{1,4}))*[\s,，;/／、|]*$"
 CONTINUED = r"(\(续\)|\(续表\)|\(续上表\)|\(continued\)|\(cont\.\)|\(cont[’']d\)|\(…continued\)|(?<![\p{L}])continued|续表)$|\(continued\)"
 PAGE_NOISE = r"\bcopyright\b|submit documentation feedback|product folder links|^(page\s*)?\d+\s*(of\s*\d+)?$"

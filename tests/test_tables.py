@@ -145,7 +145,7 @@ def test_special_tables(spark):
     assert special_row(spark, "Table 7. Word 3", [*bits, "Pin No."], [["", "x"]]) == (None, None)
     assert special_row(spark, "Table 7. Word 3", bits, [["", " "]]) == (None, None)
     head = ["Balls", "Connection Requirements"]
-    rows = [["A1, B2", "Reserved. Must be left unconnected"], ["", ""], ["C3", "Ball does not exist on this package"], ["D4/D5", "NC"]]
+    rows = [["A1, B2", "Reserved. Must be left unconnected"], ["", ""], ["C3", "Ball does not exist on the package"], ["D4/D5", "NC"]]
     assert special_row(spark, "Reserved Balls", head, rows) == ("reserved_pins", [0, 3])
     assert special_row(spark, "Reserved Balls", head, [*rows, ["E5", "Tie to ground"]]) == (None, None)
     assert special_row(spark, "Reserved Balls", [*head, "Ball Name"], rows) == (None, None)
