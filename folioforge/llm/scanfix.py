@@ -8,7 +8,8 @@
 2. Lines of a page are labelled header, body or break by a hidden Markov model
    over layout symbols (place on the page, type of block, whether the line is
    nothing but a page number). Its parameters start from what the states mean
-   and are re-estimated by Baum-Welch on at most ``SAMPLE_LINES`` lines.
+   and are re-estimated by Baum-Welch on all pages: each round sums up expected
+   counts in the tasks, over the different sequences of symbols and their pages.
 3. In one pass over the pages, body lines are joined: a hyphen at a line's end is
    noise unless the compound is in the vocabulary; tokens outside the
    vocabulary that become a word of it by undoing confusions of shape are misread.
@@ -44,8 +45,10 @@ from folioforge.session import cut
 SHARE = 2e-5
 LEAST = 3
 RATIO = 20
-#: The model is fitted on at most so many lines, those of the pages with the least hashes.
-SAMPLE_LINES = 60_000
+#: Rounds of Baum-Welch, the parts of one that expected counts are rounded to (sums fit 63 bits up to 10**11 lines), and the lines that are worked on side by side.
+ROUNDS = 3
+UNIT = 2**26
+CELLS = 100_000
 PAGES_A_BLOCK = 256
 HEADER, BODY, BREAK = 0, 1, 2
 #: Confusions of shape, as (seen, meant), all in lower case.
@@ -65,6 +68,8 @@ _SENTENCE_END = re.compile(r"[.!?:;。！？：；][\W_]*$")
 _FIRST = re.compile(r"\s*([^\W\d_]+(?:-[^\W\d_]+)*)")
 _NUMBER = r"[0-9lI|OoSBZ]{1,6}"
 PAGE_NO = re.compile(rf"[\W_]*(?:(?:page|seite|p\.|s\.|第)\s*)?(?P<n>[ivxlc]{{1,7}}|{_NUMBER})\s*(?:(?:of|von|sur|de|/)\s*(?P<m>{_NUMBER}))?\s*(?:页)?[\W_]*", re.I)
+#: A character that no page-number line has.
+_NO_PAGE_NO = r"[hjkmqwyHJKMQWY\x{4e00}-\x{7b2b}\x{7b2d}-\x{9874}\x{9876}-\x{9fff}]"
 _ROMAN = re.compile(r"(?=.)c{0,3}(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})")
 _ID = re.compile(r"[A-Z]{2,4}\d{3,}\w*(?:-\w+)?")
 _LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
@@ -291,34 +296,37 @@ class Model:
         self.start = np.array([0.6, 0.3, 0.1])
         self.move = np.array([[0.1, 0.6, 0.3], [0.05, 0.9, 0.05], [0.3, 0.5, 0.2]])
 
-    def learn(self, pages: list[np.ndarray], rounds: int = 3) -> Model:
-        """Baum-Welch; the starting values count as much as a quarter of the lines."""
-        prior = self.emit * max(100, sum(map(len, pages)) // 4)
-        if not pages:
-            return self
+    def expected(self, pages: list[np.ndarray], times: np.ndarray) -> np.ndarray:
+        """Counts of starts, moves and emissions expected in pages, each taken ``times``: one row of whole numbers of ``1 / UNIT``, so sums don't depend on their order."""
         size, grid = _side_by_side(pages)
-        width = grid.shape[1]
+        width, grid = grid.shape[1], grid.T
         live = np.arange(width)[:, None] < size[None]  # (line, page)
-        for _ in range(rounds):
-            seen = self.emit[:, grid.T].transpose(1, 2, 0)  # (line, page, state)
-            alpha, beta, scale = np.zeros_like(seen), np.ones_like(seen), np.ones((width, len(pages)))
-            for t in range(width):
-                row = (alpha[t - 1] @ self.move if t else self.start[None]) * seen[t]
-                scale[t] = np.where(live[t], row.sum(1), 1.0)
-                alpha[t] = row / scale[t][:, None]
-            for t in range(width - 2, -1, -1):
-                back = (seen[t + 1] * beta[t + 1]) @ self.move.T / scale[t + 1][:, None]
-                beta[t] = np.where(live[t + 1][:, None], back, 1.0)
-            gamma = alpha * beta
-            gamma /= gamma.sum(2, keepdims=True)
-            start, move, emit = self.start * 10 + gamma[0].sum(0), self.move * 10, prior.copy()
-            for t in range(width - 1):
-                on = live[t + 1]
-                x = alpha[t][on][:, :, None] * self.move[None] * (seen[t + 1] * beta[t + 1])[on][:, None, :]
-                move = move + (x / x.sum((1, 2), keepdims=True)).sum(0)
-            np.add.at(emit.T, grid.T[live], gamma[live])
-            self.start, self.move, self.emit = start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True)
-        return self
+        seen = self.emit[:, grid].transpose(1, 0, 2) * live[:, None]  # (line, state, page)
+        alpha, beta, scale = np.zeros_like(seen), np.ones_like(seen), np.ones(grid.shape)
+        for t in range(width):
+            row = ((alpha[t - 1][:, None] * self.move[:, :, None]).sum(0) if t else self.start[:, None]) * seen[t]
+            scale[t] = np.where(live[t], row.sum(0), 1.0)
+            alpha[t] = row / scale[t]
+        start, move, emit = np.zeros(3, np.int64), np.zeros((3, 3), np.int64), np.zeros(self.emit.shape, np.int64)
+        for t in range(width - 2, -1, -1):
+            on, ahead = live[t + 1], seen[t + 1] * beta[t + 1]
+            beta[t] = np.where(on, (self.move[:, :, None] * ahead[None]).sum(1) / scale[t + 1], 1.0)
+            x = alpha[t][:, None] * self.move[:, :, None] * ahead[None]
+            move += (np.rint(x / np.where(on, x.sum((0, 1)), 1.0) * UNIT).astype(np.int64) * times).sum(2)
+        gamma = alpha * beta
+        gamma = np.rint(gamma / np.where(live, gamma.sum(1), 1.0)[:, None] * UNIT).astype(np.int64) * times
+        start += gamma[0].sum(1)
+        for state in range(3):
+            np.add.at(emit[state], grid[live], gamma[:, state][live])
+        return np.concatenate([start, move.ravel(), emit.ravel()])
+
+    def revised(self, prior: np.ndarray, counts: np.ndarray) -> Model:
+        """The model of expected counts as ``expected`` gives them (in ones) and of ``prior`` counts of emissions; starts and moves as they were count as ten lines."""
+        n = self.emit.size
+        out = Model()
+        start, move, emit = self.start * 10 + counts[:3], self.move * 10 + counts[3:12].reshape(3, 3), prior + counts[12 : 12 + n].reshape(self.emit.shape)
+        out.start, out.move, out.emit = start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True)
+        return out
 
     def label(self, pages: list[np.ndarray]) -> list[np.ndarray]:
         """Viterbi for many pages at once, the pages side by side."""
@@ -458,17 +466,72 @@ def lines_of(spans: DataFrame) -> DataFrame:
     return rows
 
 
+def is_page_number(text: str) -> bool:
+    t = text.strip()
+    return len(t) < 20 and PAGE_NO.fullmatch(t) is not None
+
+
+def page_symbols(lines: DataFrame) -> DataFrame:
+    """(seq, n): the symbols of a page's lines in reading order, a byte for each, and how many pages have just these; re-delivered lines count once."""
+    text = F.when(~F.col("text").rlike(_NO_PAGE_NO), F.col("text")).alias("text")
+    order = ["document_name", "page_idx", "block_seq", "line_seq", "span_seq", "span_id"]
+    placed = lines.select(*order, "block_type", text, "y").repartition("document_name", "page_idx").sortWithinPartitions(*order).select("document_name", "page_idx", "span_id", "block_type", "text", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, codes, seen = None, bytearray(), set()
+        for batch in batches:
+            docs, pages, ids, types, texts, ys = (c.to_pylist() for c in batch.columns)
+            kinds = {k: kind_of(k) for k in set(types)}
+            number = [t is not None and is_page_number(t if t.isascii() else unicodedata.normalize("NFC", t)) for t in texts]
+            symbol = symbols(np.array([np.nan if y is None else y for y in ys], float), np.array([kinds[k] for k in types], int), np.array(number, int)).tolist()
+            out = []
+            for doc, page, id_, code in zip(docs, pages, ids, symbol):
+                if (doc, page) != key:
+                    if codes:
+                        out.append(bytes(codes))
+                    key, codes, seen = (doc, page), bytearray(), set()
+                if id_ not in seen:
+                    seen.add(id_)
+                    codes.append(code)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["seq"])
+        if codes:
+            yield pa.RecordBatch.from_arrays([pa.array([bytes(codes)], pa.binary())], names=["seq"])
+
+    return placed.mapInArrow(run, "seq binary").groupBy("seq").agg(F.count("*").alias("n"))
+
+
+def expected_counts(pages: DataFrame, model: Model) -> np.ndarray:
+    """``model.expected`` in ones over all of ``pages`` (seq, n); the driver gets one sum for each parameter."""
+    given = pages.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            every = sorted(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), key=lambda p: len(p[0]))
+            total, block = 0, []
+            for i, (seq, n) in enumerate(every):
+                block.append((np.frombuffer(seq, np.uint8), n))
+                if i + 1 == len(every) or len(every[i + 1][0]) * (len(block) + 1) > CELLS:
+                    total = total + given.value.expected([p for p, _ in block], np.array([n for _, n in block], np.int64))
+                    block = []
+            if every:
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total, pa.int64())], names=["at", "n"])
+
+    sums = pages.mapInArrow(run, "at int, n bigint").groupBy("at").agg(F.sum(F.col("n").cast("decimal(20,0)")).alias("n")).collect()
+    out = np.zeros(12 + model.emit.size)
+    for r in sums:
+        out[r.at] = int(r.n) / UNIT
+    return out
+
+
 def fit(lines: DataFrame) -> Model:
-    """The model, re-estimated on at most ``SAMPLE_LINES`` lines: those of the pages with the least hashes, so it doesn't depend on the order of rows."""
-    total = lines.count()
-    every = max(1, -(-total // SAMPLE_LINES))
-    part = lines.where(F.pmod(F.xxhash64("document_name", "page_idx"), F.lit(every)) == 0)
-    short = F.trim("text")  # longer texts are no page numbers
-    narrow = part.select(F.xxhash64("document_name", "page_idx").alias("page"), "block_seq", "line_seq", "span_seq", "block_type", "y", F.when(F.length(short) < 20, short).otherwise("").alias("text"))
-    rows = narrow.orderBy("page", "block_seq", "line_seq", "span_seq", "text", "y").limit(SAMPLE_LINES).toPandas()
-    rows["symbol"] = symbols(rows["y"].to_numpy(float), rows["block_type"].map(kind_of).to_numpy(int), rows["text"].map(lambda t: PAGE_NO.fullmatch(t.strip()) is not None).to_numpy(int)) if len(rows) else []
-    pages = [g.to_numpy() for _, g in rows.groupby("page", sort=False)["symbol"]]
-    return Model().learn(pages)
+    """The model, re-estimated by Baum-Welch on all lines; what it starts from counts as much as a quarter of them."""
+    pages = cut(page_symbols(lines))
+    total = pages.agg(F.sum(F.length("seq") * F.col("n"))).first()[0] or 0
+    model = Model()
+    prior = model.emit * max(100, total // 4)
+    for _ in range(ROUNDS if total else 0):
+        model = model.revised(prior, expected_counts(pages, model))
+    return model
 
 
 def read_pages(lines: DataFrame, words: frozenset[str], compounds: frozenset[str], model: Model, tags: set[str] | None = None) -> DataFrame:
@@ -511,9 +574,7 @@ def read_pages(lines: DataFrame, words: frozenset[str], compounds: frozenset[str
                 seen.add(id_)
                 if not text.isascii():
                     text = unicodedata.normalize("NFC", text)
-                t = text.strip()
-                number = len(t) < 20 and PAGE_NO.fullmatch(t) is not None
-                rows.append((id_, block, line, kind, text, number, 0.5 if y is None else y))
+                rows.append((id_, block, line, kind, text, is_page_number(text), 0.5 if y is None else y))
         if rows:
             pages.append((*key, rows))
         if pages:

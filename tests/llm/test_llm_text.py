@@ -166,6 +166,52 @@ def test_labels_side_by_side_are_labels_one_by_one():
     assert all((a == model.label([p])[0]).all() for a, p in zip(together, pages))
 
 
+def learnt_one_by_one(pages):
+    """Baum-Welch as in books, over (symbols, number of pages)."""
+    model, total = scanfix.Model(), sum(len(p) * n for p, n in pages)
+    start, move, emit = model.start, model.move, model.emit
+    prior = emit * max(100, total // 4)
+    for _ in range(3):
+        first, step, seen = start * 10, move * 10, prior.copy()
+        for p, n in pages:
+            alpha, beta = [start * emit[:, p[0]]], [scanfix.np.ones(3)]
+            for c in p[1:]:
+                alpha.append(alpha[-1] @ move * emit[:, c])
+            for c in p[:0:-1]:
+                beta.insert(0, move @ (emit[:, c] * beta[0]))
+            whole = alpha[-1].sum()
+            first = first + n * alpha[0] * beta[0] / whole
+            for t, c in enumerate(p):
+                seen[:, c] += n * alpha[t] * beta[t] / whole
+                step = step + (n * alpha[t - 1][:, None] * move * emit[:, c] * beta[t] / whole if t else 0)
+        start, move, emit = first / first.sum(), step / step.sum(1, keepdims=True), seen / seen.sum(1, keepdims=True)
+    return start, move, emit
+
+
+def test_the_model_is_fitted_on_all_pages(spark):
+    kinds = [("title", "ABC Gate Driver", 0.035), ("text", "the settling time", 0.085), ("text", "第 1 2 章 of the", 0.5), ("list", "a 1", 0.6), ("table_caption", "Table 3", 0.7), ("text", None, 0.8), ("text", "Acme e\u0301", 0.955), ("text", " - l2 -\u2003", 0.975), ("text", "第 3 页", 0.975), (None, "x" * 30, None)]
+    shapes = [[0, 1, 2, 3, 6, 7], [0, 2, 2, 2, 4, 8], [1, 2, 3, 9], [7, 2, 2, 6], [8], [9, 9, 9, 9, 0, 5, 2, 2, 2, 2, 2, 2, 6, 6], [6, 0, 2, 7]]
+    often = [3000, 4000, 2500, 2000, 5, 1500, 1]
+    schema = "shape int, at int, block_type string, content string, y double"
+    rows = spark.createDataFrame([(s, i, *kinds[k]) for s, shape in enumerate(shapes) for i, k in enumerate(shape)], schema)
+    pages = spark.createDataFrame([(s, n) for s, n in enumerate(often)], "shape int, n int").selectExpr("shape", "explode(sequence(1, n)) as page_idx")
+    spans = pages.join(rows, "shape").selectExpr("shape * 1000000000L + page_idx * 100L + at as span_id", "if(shape = 4, null, 'doc' || shape) as document_name", "page_idx", "array(600d, 100d) as page_size", "at as block_seq", "block_type", "0 as line_seq", "0 as span_seq", "array(0d, y * 100, 9d, y * 100) as bbox", "content")
+    symbol = [int(scanfix.symbols(scanfix.np.array([scanfix.np.nan if y is None else y]), scanfix.np.array([scanfix.kind_of(k)]), scanfix.np.array([int(bool(t and scanfix.is_page_number(t)))]))[0]) for k, t, y in kinds]
+    known = [([symbol[k] for k in shape if kinds[k][1] is not None], n) for shape, n in zip(shapes, often)]
+    assert sum(len(p) * n for p, n in known) > 60_000
+    lines = scanfix.lines_of(spans.unionByName(spans.where("span_id between 1000000000 and 1000020000")))  # some delivered again
+    model = scanfix.fit(lines)
+    for got, want in zip((model.start, model.move, model.emit), learnt_one_by_one(known)):
+        assert scanfix.np.allclose(got, want, rtol=1e-4, atol=1e-7)
+    again = scanfix.fit(lines.repartition(3, "block_seq"))
+    assert (again.start == model.start).all() and (again.move == model.move).all() and (again.emit == model.emit).all()
+
+
+@pytest.mark.parametrize("text", ["12", "l2", "- I0 -", "iv", "Page 3 of I1", "第 l 页", "SEITE 4 VON 9", "s. 7 sur 8", "p.xlc", "3 de |S"])
+def test_page_numbers_have_no_character_of_the_others(text):
+    assert scanfix.is_page_number(text) and not re.search(re.sub(r"\\x\{(\w+)\}", r"\\u\1", scanfix._NO_PAGE_NO), text)
+
+
 # ---- tokenizer
 
 
