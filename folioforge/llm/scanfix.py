@@ -477,25 +477,36 @@ def page_symbols(lines: DataFrame) -> DataFrame:
     order = ["document_name", "page_idx", "block_seq", "line_seq", "span_seq", "span_id"]
     placed = lines.select(*order, "block_type", text, "y").repartition("document_name", "page_idx").sortWithinPartitions(*order).select("document_name", "page_idx", "span_id", "block_type", "text", "y")
 
+    def once(ids: list[int], codes: bytearray) -> bytes:
+        first: dict[int, int] = {}
+        if len(set(ids)) < len(ids):
+            for i, code in zip(ids, codes):
+                first.setdefault(i, code)
+        return bytes(first.values() if first else codes)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, codes, seen = None, bytearray(), set()
+        key, ids, codes = None, [], bytearray()
         for batch in batches:
-            docs, pages, ids, types, texts, ys = (c.to_pylist() for c in batch.columns)
-            kinds = {k: kind_of(k) for k in set(types)}
-            number = [t is not None and is_page_number(t if t.isascii() else unicodedata.normalize("NFC", t)) for t in texts]
-            symbol = symbols(np.array([np.nan if y is None else y for y in ys], float), np.array([kinds[k] for k in types], int), np.array(number, int)).tolist()
+            docs, pages, kinds = (batch.column(c).dictionary_encode(null_encoding="encode") for c in ("document_name", "page_idx", "block_type"))
+            texts, every = batch.column("text"), batch.column("span_id").to_numpy().tolist()
+            number = np.zeros(len(every), int)
+            for i, t in zip(np.flatnonzero(texts.is_valid()), texts.drop_null().to_pylist()):
+                number[i] = is_page_number(t if t.isascii() else unicodedata.normalize("NFC", t))
+            kind = np.array([kind_of(k) for k in kinds.dictionary.to_pylist()], int)[kinds.indices.to_numpy()]
+            symbol = symbols(batch.column("y").to_numpy(zero_copy_only=False).astype(float), kind, number).astype(np.uint8).tobytes()
+            turns = np.diff(docs.indices.to_numpy()).astype(bool) | np.diff(pages.indices.to_numpy()).astype(bool)
             out = []
-            for doc, page, id_, code in zip(docs, pages, ids, symbol):
-                if (doc, page) != key:
+            for start, end in itertools.pairwise([0, *(np.flatnonzero(turns) + 1).tolist(), len(every)] if every else []):
+                at = (docs[start].as_py(), pages[start].as_py())
+                if at != key:
                     if codes:
-                        out.append(bytes(codes))
-                    key, codes, seen = (doc, page), bytearray(), set()
-                if id_ not in seen:
-                    seen.add(id_)
-                    codes.append(code)
+                        out.append(once(ids, codes))
+                    key, ids, codes = at, [], bytearray()
+                ids += every[start:end]
+                codes += symbol[start:end]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["seq"])
         if codes:
-            yield pa.RecordBatch.from_arrays([pa.array([bytes(codes)], pa.binary())], names=["seq"])
+            yield pa.RecordBatch.from_arrays([pa.array([once(ids, codes)], pa.binary())], names=["seq"])
 
     return placed.mapInArrow(run, "seq binary").groupBy("seq").agg(F.count("*").alias("n"))
 
