@@ -769,7 +769,7 @@ def read_tables(tables: DataFrame, words: frozenset[str], compounds: frozenset[s
 def clean_tables(spans: DataFrame, tables: DataFrame) -> DataFrame:
     """(table_id, html): every table once, with clean cells."""
     lines, words, compounds, model, _ = _prepare(spans, tables)
-    chain = header_chain(running_lines(read_pages(lines, words, compounds, model, {"running"})))
+    chain = header_chain(running_lines(cut(read_pages(lines, words, compounds, model, {"running"}))))
     out = _over_tables(tables, lambda r, c, h: [(clean_table(r, c, h),)], words, compounds, chain, ["id", "html"], "id bigint, html string")
     return out.select(F.col("id").alias("table_id"), "html").groupBy("table_id").agg(F.max("html").alias("html"))
 
